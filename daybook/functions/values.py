@@ -18,6 +18,8 @@ MISSING_WHEN_CLEANED = ("", " ", "NULL", "null", "None")
 # Texts taken as NULL in any letter case when a row is stored.
 MISSING_IN_ANY_CASE = ("nan", "none", "null")
 
+_LONGEST_MISSING = max(map(len, MISSING_AT_READ))
+
 WIDE_NUMBER = "decimal(38,6)"
 MONEY = "decimal(18,2)"
 
@@ -30,7 +32,8 @@ def blank_to_null(c: Column, any_case: bool = False) -> Column:
     missing = c.isin(*MISSING_AT_READ, *MISSING_WHEN_CLEANED)
     if any_case:
         missing = missing | F.lower(c).isin(*MISSING_IN_ANY_CASE)
-    return F.when(~missing, c)
+    # Most texts are longer than any of the spellings and need no look-up.
+    return F.when((F.octet_length(c) > _LONGEST_MISSING) | ~missing, c)
 
 
 def to_number(c: Column) -> Column:
@@ -43,14 +46,27 @@ def looks_numeric(c: Column) -> Column:
     return c.rlike("(?i)^\\s*[+-]?(\\d+\\.?\\d*([e][+-]?\\d+)?|\\.\\d+([e][+-]?\\d+)?|inf(inity)?)\\s*$")
 
 
-def has_fraction(number: Column) -> Column:
-    """True where a number is not whole; NULL counts as whole."""
-    return F.coalesce(number != F.floor(number), F.lit(False))
+def _may_have_fraction(c: Column) -> Column:
+    return F.contains(c, F.lit(".")) | F.contains(F.lower(c), F.lit("e"))
+
 
+def has_fraction(c: Column) -> Column:
+    """True where the text of a number is not whole.
 
-def to_whole(number: Column, kind: str = "bigint") -> Column:
-    """A number to an integer; a fraction or a value out of range gives NULL."""
-    return F.when(~has_fraction(number), number.try_cast(kind))
+    Plain digits, the usual case, are told by their look.
+    """
+    number = to_number(c)
+    return _may_have_fraction(c) & F.coalesce(number != F.floor(number), F.lit(False))
+
+
+def to_whole(c: Column, kind: str = "bigint") -> Column:
+    """Text to an integer: ``12.0`` gives 12; a fraction, bad text or a value
+    out of range gives NULL."""
+    number = to_number(c)
+    return (
+        F.when(~_may_have_fraction(c), c.try_cast(kind))
+        .when(number == F.floor(number), number.try_cast(kind))
+    )
 
 
 def to_timestamp(c: Column) -> Column:

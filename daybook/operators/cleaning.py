@@ -11,7 +11,6 @@ from daybook.functions.values import (
     fill_zero,
     has_fraction,
     looks_numeric,
-    to_number,
     to_text,
     to_timestamp,
     to_whole,
@@ -39,51 +38,65 @@ def _numeric(schema: T.StructType, also=()) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, T.NumericType) or f.name in also]
 
 
-def _as_text_and_numbers(
-    raw: DataFrame, schema: T.StructType, numeric, any_case: bool
-) -> tuple[DataFrame, list[str]]:
-    """Texts without their missing-value spellings, and numbers beside them.
+def _typed(name: str) -> str:
+    return f"_{name}_typed"
 
-    The two steps are separate projections, so that each text and each number
-    is worked out once, however many checks look at it. Also returns the
-    columns that are not part of the table.
-    """
+
+def _texts(raw: DataFrame, schema: T.StructType, any_case: bool) -> tuple[DataFrame, list[str]]:
+    """Texts without their spellings of a missing value; absent columns as
+    NULL. Also returns the columns that are not part of the table."""
     present = set(raw.columns)
     extra = [c for c in raw.columns if c not in schema.fieldNames()]
-    texts = raw.select(
-        *(
-            blank_to_null(F.col(f.name), any_case).alias(f.name)
-            if f.name in present
-            else F.lit(None).cast("string").alias(f.name)
-            for f in schema
-        ),
-        *extra,
-    )
-    numbers = {_number(c): to_number(F.col(c)) for c in numeric}
-    return texts.withColumns(numbers), extra
-
-
-def _number(name: str) -> str:
-    return f"_{name}_number"
-
-
-def _whole_checks(name: str, kind: str) -> list[tuple[Column, str]]:
-    text, number = F.col(name), F.col(_number(name))
-    held = number.try_cast(kind).isNotNull()
+    texts = [
+        blank_to_null(F.col(f.name), any_case).alias(f.name)
+        if f.name in present
+        else F.lit(None).cast("string").alias(f.name)
+        for f in schema
+    ]
+    return raw.select(*texts, *extra), extra
+
+
+def _with_typed(texts: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Add typed values beside the texts.
+
+    They are a projection of their own, so that each is worked out once,
+    however many checks look at it.
+    """
+    return texts.withColumns({_typed(name): value for name, value in values.items()})
+
+
+def _number_checks(name: str, fraction: str) -> list[tuple[Column, str]]:
+    # The rare case is asked for first; only then is the text looked at.
+    lost = F.col(_typed(name)).isNull() & looks_numeric(F.col(name))
     return [
-        (has_fraction(number), f"{name}: not whole"),
-        (looks_numeric(text) & ~held, f"{name}: out of range"),
+        (has_fraction(F.col(name)), f"{name}: {fraction}"),
+        (lost, f"{name}: out of range"),
     ]
 
 
-def _length_checks(schema: T.StructType, unbounded=()) -> list[tuple[Column, str]]:
+def _length_checks(schema: T.StructType, typed=()) -> list[tuple[Column, str]]:
     return [
-        (F.length(F.col(name)) > longest, f"{name}: longer than {longest}")
+        (
+            F.length(F.col(_typed(name) if name in typed else name)) > longest,
+            f"{name}: longer than {longest}",
+        )
         for name, longest in max_lengths(schema).items()
-        if name not in unbounded
     ]
 
 
+def _finished(
+    rows: DataFrame, schema: T.StructType, zero, typed, extra, checks: list[tuple[Column, str]]
+) -> DataFrame:
+    """The table's columns, what passes through, and the first reason."""
+
+    def final(name: str) -> Column:
+        value = F.col(_typed(name)) if name in typed else F.col(name)
+        return (fill_zero(value) if name in zero else value).cast(schema[name].dataType).alias(name)
+
+    passed = [c for c in extra if c != MALFORMED]
+    return rows.select(*map(final, schema.fieldNames()), *passed, _first_reason(checks))
+
+
 def clean_transactions(raw: DataFrame, compat: bool = False) -> DataFrame:
     """Landed text rows to the types of the transactions table.
 
@@ -94,37 +107,32 @@ def clean_transactions(raw: DataFrame, compat: bool = False) -> DataFrame:
     key give a `reject_reason`. Columns that are not part of the table pass
     through, absent ones become NULL.
     """
+    texts, extra = _texts(raw, TRANSACTIONS, any_case=True)
     codes = _CODES if compat else ()
-    rows, extra = _as_text_and_numbers(raw, TRANSACTIONS, _numeric(TRANSACTIONS, codes), True)
-    stored: list[Column] = []
-    checks: list[tuple[Column, str]] = []
+    numeric = (*MONEY_COLUMNS, *_IDS, *codes)
+    dates = [f.name for f in TRANSACTIONS if isinstance(f.dataType, T.TimestampNTZType)]
+    values = {c: F.col(c).try_cast(TRANSACTIONS[c].dataType) for c in MONEY_COLUMNS}
+    for name in _IDS:
+        values[name] = to_whole(F.col(name), TRANSACTIONS[name].dataType.simpleString())
+    for name in codes:
+        values[name] = to_text(fill_zero(to_whole(F.col(name))))
+    for name in dates:
+        values[name] = to_timestamp(F.col(name))
+
+    checks = [(F.col(TRANSACTION_KEY).isNull(), f"{TRANSACTION_KEY}: missing")]
     if MALFORMED in extra:
-        checks.append((F.col(MALFORMED).isNotNull(), "line: wrong number of fields"))
-    checks.append((F.col(TRANSACTION_KEY).isNull(), f"{TRANSACTION_KEY}: missing"))
-    for f in TRANSACTIONS:
-        name, kind = f.name, f.dataType.simpleString()
-        value = F.col(name)
-        if name in MONEY_COLUMNS:
-            number = F.col(_number(name))
-            held = number.try_cast(f.dataType)
-            value = fill_zero(held)
-            checks.append((has_fraction(number), f"{name}: fraction of a cent"))
-            checks.append((looks_numeric(F.col(name)) & held.isNull(), f"{name}: out of range"))
-        elif name in _IDS:
-            whole = to_whole(F.col(_number(name)), kind)
-            value = fill_zero(whole) if compat else whole
-            checks += _whole_checks(name, kind)
-        elif isinstance(f.dataType, T.TimestampNTZType):
-            value = to_timestamp(F.col(name))
-            checks.append((F.col(name).isNotNull() & value.isNull(), f"{name}: not a date"))
-        elif name in codes:
-            value = to_text(fill_zero(to_whole(F.col(_number(name)))))
-            checks += _whole_checks(name, "bigint")
-            longest = f.metadata["max_length"]
-            checks.append((F.length(value) > longest, f"{name}: longer than {longest}"))
-        stored.append(value.cast(f.dataType).alias(name))
+        checks.insert(0, (F.col(MALFORMED).isNotNull(), "line: wrong number of fields"))
+    for name in (*_IDS, *codes):
+        checks += _number_checks(name, "not whole")
+    for name in MONEY_COLUMNS:
+        checks += _number_checks(name, "fraction of a cent")
+    for name in dates:
+        lost = F.col(_typed(name)).isNull() & F.col(name).isNotNull()
+        checks.append((lost, f"{name}: not a date"))
     checks += _length_checks(TRANSACTIONS, codes)
-    return rows.select(*stored, *(c for c in extra if c != MALFORMED), _first_reason(checks))
+    zero = numeric if compat else MONEY_COLUMNS
+    rows = _with_typed(texts, values)
+    return _finished(rows, TRANSACTIONS, zero, values, extra, checks)
 
 
 def clean_merchants(raw: DataFrame) -> DataFrame:
@@ -133,21 +141,21 @@ def clean_merchants(raw: DataFrame) -> DataFrame:
     Bad numbers and dates become NULL. A missing key, a fraction in a whole
     number, a value out of range or too long a text gives a `reject_reason`.
     """
-    rows, extra = _as_text_and_numbers(raw, MERCHANTS, _numeric(MERCHANTS), False)
-    stored: list[Column] = []
-    checks: list[tuple[Column, str]] = []
+    texts, extra = _texts(raw, MERCHANTS, any_case=False)
+    numeric = [f.name for f in MERCHANTS if isinstance(f.dataType, T.NumericType)]
+    values = {
+        name: to_whole(F.col(name), MERCHANTS[name].dataType.simpleString())
+        for name in numeric
+    }
+    for f in MERCHANTS:
+        if isinstance(f.dataType, T.TimestampNTZType):
+            values[f.name] = to_timestamp(F.col(f.name))
+
+    checks = []
     if MALFORMED in extra:
         checks.append((F.col(MALFORMED).isNotNull(), "line: wrong number of fields"))
-    for f in MERCHANTS:
-        name, kind = f.name, f.dataType.simpleString()
-        value = F.col(name)
-        if isinstance(f.dataType, T.NumericType):
-            value = to_whole(F.col(_number(name)), kind)
-            if name == MERCHANT_KEY:
-                checks.append((F.col(_number(name)).isNull(), f"{name}: missing"))
-            checks += _whole_checks(name, kind)
-        elif isinstance(f.dataType, T.TimestampNTZType):
-            value = to_timestamp(F.col(name))
-        stored.append(value.cast(f.dataType).alias(name))
+    for name in numeric:
+        checks += _number_checks(name, "not whole")
+    checks.append((F.col(_typed(MERCHANT_KEY)).isNull(), f"{MERCHANT_KEY}: missing"))
     checks += _length_checks(MERCHANTS)
-    return rows.select(*stored, *(c for c in extra if c != MALFORMED), _first_reason(checks))
+    return _finished(_with_typed(texts, values), MERCHANTS, (), values, extra, checks)

@@ -38,7 +38,10 @@ def money_problems(raw: DataFrame, key: str = "transaction_uuid") -> DataFrame:
 
 
 def split_rejects(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows without a reject reason, and rows with one."""
+    """Rows without a reject reason, and rows with one.
+
+    Both parts read `cleaned`, so pass a stored table.
+    """
     accepted = cleaned.where(F.col(REASON).isNull()).drop(REASON)
     return accepted, cleaned.where(F.col(REASON).isNotNull())
 

@@ -18,6 +18,7 @@ from daybook.operators.quality import (
     split_rejects,
 )
 from daybook.schemas import MERCHANT_KEY, MERCHANTS, TRANSACTION_KEY
+from daybook.session import wide_expressions
 from daybook.sources.extract import FAILURE, extract_window, read_control, write_control
 from daybook.sources.files import (
     LINEAGE,
@@ -53,10 +54,11 @@ def load_transactions(raw: DataFrame, existing: DataFrame, compat: bool = False)
     are stored before anything is returned, so appending cannot change them.
     """
     cleaned = clean_transactions(raw, compat)
-    staged = materialize(
-        dedup_first(cleaned, [SOURCE_FILE, TRANSACTION_KEY], [SOURCE_BLOCK, SOURCE_ROW], _COPIES),
-        "landed",
-    )
+    place = [SOURCE_BLOCK, SOURCE_ROW]
+    with wide_expressions(raw.sparkSession):
+        staged = materialize(
+            dedup_first(cleaned, [SOURCE_FILE, TRANSACTION_KEY], place, _COPIES), "landed"
+        )
     accepted, rejected = split_rejects(staged)
     # One row per file and key is left, so these groups are as small as the
     # number of files.
@@ -64,8 +66,8 @@ def load_transactions(raw: DataFrame, existing: DataFrame, compat: bool = False)
     ranked = accepted.withColumn("_rank", F.row_number().over(earlier))
     fresh, _ = append_ignore(ranked.where(F.col("_rank") == 1), existing, TRANSACTION_KEY)
     to_append = materialize(fresh.drop("_rank", _COPIES), "accepted")
-    place = [TRANSACTION_KEY, SOURCE_FILE]
-    ignored = accepted.join(to_append.select(*place), place, "left_anti")
+    row = [TRANSACTION_KEY, SOURCE_FILE]
+    ignored = accepted.join(to_append.select(*row), row, "left_anti")
     outcomes = load_report(to_append, ignored, rejected, by=SOURCE_FILE)
     repeats = staged.groupBy(SOURCE_FILE).agg(
         F.sum(F.col(_COPIES) - 1).alias("repeated_in_file"), F.sum(_COPIES).alias("lines")

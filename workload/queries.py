@@ -225,7 +225,8 @@ def clean_transactions_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejected = db.split_rejects(db.clean_transactions(fx.landed(spark, sf_dir)))
+    cleaned = materialize(db.clean_transactions(fx.landed(spark, sf_dir)), "cleaned")
+    _, rejected = db.split_rejects(cleaned)
     return rejected.groupBy("reject_reason").agg(F.count("*").alias("row_count"))
 
 
