@@ -14,6 +14,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.session import wide_expressions
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
@@ -49,5 +51,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet to the workspace and return a scan of it."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with wide_expressions(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

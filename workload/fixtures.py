@@ -19,7 +19,12 @@ ROW_ORDER = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. One that the scan cannot split over all cores, like a
+    single file with one row group, is spread after reading; a large table
+    never is."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ RUN = "2001-06-01 06:00:00"
 WINDOW = ("1998-01-01 00:00:00", "2000-06-30 12:00:00")
 STORED_BEFORE = date(1999, 1, 1)
 # Small enough that the groups of the test data are cut into chunks.
-FEW_ROWS = 100
+FEW_ROWS = 200
 
 REFRESHED = (
     "day", "mid", "merchant_name", "amount_sum", "amount_count", "refund_sum", "refund_count",
