@@ -132,9 +132,10 @@ def create_table(
 ) -> None:
     """Drop and define a catalog table.
 
-    Text lengths and NOT NULL are declared, so table inserts enforce them. A
-    transactions table bucketed by its key lets every later load compare keys
-    without shuffling the stored side.
+    Inserts enforce the declared text lengths and fill the zero defaults. NOT
+    NULL is declared too, but file tables do not enforce it; that and the key
+    are for `require_constraints`. A transactions table bucketed by its key
+    lets every later load compare keys without shuffling the stored side.
     """
     parts = []
     for column, declared in columns:
