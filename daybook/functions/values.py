@@ -99,11 +99,15 @@ def round_money(c: Column) -> Column:
     return F.round(c, 2).cast(MONEY)
 
 
-def stamp(c: Column, pattern: str = "yyyyMMdd_HHmmss") -> Column:
-    """A timestamp as it appears in file names and run folders."""
-    return F.date_format(c, pattern)
+def stamp(c: Column) -> Column:
+    """A timestamp as ``yyyyMMdd_HHmmss``, its form in file and run names.
+
+    Works on the text, as formatting functions would move zone-less times that
+    the session's zone skips.
+    """
+    return F.translate(F.substring(c.cast("string"), 1, 19), " -:", "_")
 
 
 def month_of(c: Column) -> Column:
-    """The ``yyyy-MM`` partition a date belongs to."""
-    return F.date_format(c, "yyyy-MM")
+    """The ``yyyy-MM`` partition a date or timestamp belongs to."""
+    return F.substring(c.cast("date").cast("string"), 1, 7)

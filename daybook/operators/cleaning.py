@@ -154,8 +154,10 @@ def clean_merchants(raw: DataFrame) -> DataFrame:
     checks = []
     if MALFORMED in extra:
         checks.append((F.col(MALFORMED).isNotNull(), "line: wrong number of fields"))
-    for name in numeric:
-        checks += _number_checks(name, "not whole")
+    checks += _number_checks(MERCHANT_KEY, "not whole")
     checks.append((F.col(_typed(MERCHANT_KEY)).isNull(), f"{MERCHANT_KEY}: missing"))
+    for name in numeric:
+        if name != MERCHANT_KEY:
+            checks += _number_checks(name, "not whole")
     checks += _length_checks(MERCHANTS)
     return _finished(_with_typed(texts, values), MERCHANTS, (), values, extra, checks)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,6 +26,8 @@ LINEAGE_SCHEMA = T.StructType(
 REQUIRED_TRANSACTION_COLUMNS = (TRANSACTION_KEY, *MONEY_COLUMNS)
 # Quotes inside a quoted field are doubled, on reading and on writing.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Up to this many files, each is asked for its header by a job of its own.
+HEADER_JOBS = 1000
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -57,7 +60,13 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list
 
 
 def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each file. Only the first line of a file is read."""
+    """Column names of each file.
+
+    A usual batch asks each file for its first line. For very many files, one
+    distributed pass over the text is quicker than a small job for each.
+    """
+    if len(paths) > HEADER_JOBS:
+        return _headers_in_one_pass(spark, paths)
 
     def header(path: str) -> tuple[str, ...]:
         return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
@@ -66,6 +75,18 @@ def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str,
         return dict(zip(paths, pool.map(header, paths)))
 
 
+def _headers_in_one_pass(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    # A file without any line is left out, as there is nothing to load from it.
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(
+            F.col("_metadata.file_block_start"), F.monotonically_increasing_id(), "value"
+        ).alias("line"),
+    )
+    first = lines.groupBy("path").agg(F.min("line")["value"].alias("header"))
+    return {r.path: tuple(next(csv.reader([r.header]))) for r in first.toLocalIterator()}
+
+
 def _read_group(
     spark: SparkSession, paths: list[str], header: tuple[str, ...], wanted, multi_line: bool
 ) -> DataFrame:

@@ -67,7 +67,7 @@ def ingest_stream(
             rows = result.rejected.unionByName(notes, allowMissingColumns=True)
             rows.write.mode("overwrite").json(run)
         if daily:
-            run_ts = session.sql("SELECT date_format(now(), 'yyyy-MM-dd HH:mm:ss')").first()[0]
+            run_ts = session.sql("SELECT substring(string(localtimestamp()), 1, 19)").first()[0]
             update_daily(session, read_transactions(session, table), daily, run_ts)
 
     writer = names.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

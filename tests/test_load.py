@@ -183,6 +183,19 @@ def test_columns_are_matched_by_name_per_file(spark, tmp_path):
     assert (rows["k1"].amount, rows["k2"].amount, rows["k2"].mid) == ("100", "200", None)
 
 
+def test_headers_of_very_many_files_come_from_one_pass(spark, tmp_path, monkeypatch):
+    from daybook.sources import files
+
+    land(tmp_path, "a.csv", HEADER, "k1,1,100,0,charge,2024-01-01 00:00:00")
+    land(tmp_path, "b.csv", '"amount",transaction_uuid,refunded_amount', "200,k2,0")
+    paths = files.list_files(spark, str(tmp_path))
+    one_by_one = files.read_headers(spark, paths)
+    monkeypatch.setattr(files, "HEADER_JOBS", 1)
+    at_once = files.read_headers(spark, paths)
+    assert sorted(at_once.values()) == sorted(one_by_one.values())
+    assert sorted(r.amount for r in db.read_transactions_csv(spark, str(tmp_path)).collect()) == ["100", "200"]
+
+
 def test_file_without_required_column_is_skipped(spark, tmp_path):
     good = land(tmp_path, "a.csv", HEADER, "k1,1,100,0,charge,2024-01-01 00:00:00")
     bad = land(tmp_path, "b.csv", "mid,amount,refunded_amount", "1,2,3")

@@ -150,3 +150,18 @@ def test_empty_transactions(make_tx, spark):
     assert summary.total_records == 0 and summary.earliest_date is None
     stored = db.read_daily(spark, fresh_path(spark, "nothing"))
     assert db.watermark(stored) == date(1900, 1, 1)
+
+
+def test_no_time_zone_moves_a_transaction(spark, make_tx):
+    """02:30 does not exist on this day in that zone; 23:30 is another day in UTC."""
+    from daybook.functions.values import month_of, stamp
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tx = make_tx({"transaction_date": "2024-03-10 02:30:00"}, {"transaction_date": "2024-03-31 23:30:00"})
+        assert sorted(str(k[0]) for k in full(tx, date(2024, 5, 1))) == ["2024-03-10", "2024-03-31"]
+        stamps = tx.select(stamp(F.col("transaction_date")), month_of(F.col("transaction_date"))).collect()
+        assert sorted(map(tuple, stamps)) == [("20240310_023000", "2024-03"), ("20240331_233000", "2024-03")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -96,15 +96,15 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "concat('00', cast(l_partkey % 1000 as string)) AS source_first6",
             "CASE WHEN l_partkey % 5 = 0 THEN 'VISA' ELSE cast(l_partkey as string) END AS payment_method_details",
             """CASE WHEN l_partkey % 107 = 0 THEN 'yesterday'
-                    ELSE date_format(timestampadd(SECOND, cast(l_partkey * 37 % 86400 as int),
-                                                  cast(l_shipdate as timestamp_ntz)),
-                                     'yyyy-MM-dd HH:mm:ss') END AS transaction_date""",
+                    ELSE cast(timestampadd(SECOND, cast(l_partkey * 37 % 86400 as int),
+                                           cast(l_shipdate as timestamp_ntz)) as string)
+               END AS transaction_date""",
             """CASE WHEN l_partkey % 83 = 0 THEN 'null' WHEN l_returnflag = 'A' THEN 'void'
                     WHEN l_returnflag = 'R' THEN 'refund' ELSE 'charge' END AS transaction_type""",
             "'api' AS user_source",
             "'1994-01-01 00:00:00' AS SourceAccountCreated",
             "'' AS created_at",
-            "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') AS updated_at",
+            "cast(cast(l_shipdate as timestamp_ntz) as string) AS updated_at",
             "concat('file-', cast(l_suppkey % 4 as string)) AS source_file",
             "l_partkey AS source_block",
             """cast(round(l_extendedprice * 100) as bigint) * 1000 + cast(l_quantity as bigint) * 10
