@@ -41,8 +41,10 @@ from daybook.sources.extract import (
 )
 from daybook.sources.files import export_csv, read_merchants_csv, read_transactions_csv
 from daybook.sources.tables import (
+    add_first_dates,
     append_transactions,
     read_daily,
+    read_first_dates,
     read_merchants,
     read_transactions,
     replace_months,

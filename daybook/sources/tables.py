@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.values import month_of
-from daybook.operators.metrics import with_month
+from daybook.operators.metrics import FIRST_DATES, first_dates_of, with_month
 from daybook.schemas import DAILY_METRICS, MERCHANTS, TRANSACTIONS
 from daybook.workspace import materialize
 
 
+_FIRST_DATES = T.StructType(
+    [
+        T.StructField("mid", T.LongType()),
+        *(T.StructField(name, T.TimestampNTZType()) for name in FIRST_DATES),
+    ]
+)
+
+
 def _partitioned(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema, T.StructField("month", T.StringType())])
 
@@ -58,6 +66,26 @@ def append_transactions(rows: DataFrame, path: str) -> None:
     )
 
 
+def add_first_dates(first: DataFrame, path: str) -> None:
+    """Note first dates of newly loaded rows.
+
+    Rows are only added, so that a crash loses nothing and a repeat does no
+    harm; `read_first_dates` takes the earliest per mid.
+    """
+    first.write.mode("append").parquet(path)
+
+
+def read_first_dates(spark: SparkSession, path: str) -> DataFrame | None:
+    """First dates per mid from all notes, or None when there are none yet."""
+    try:
+        notes = spark.read.schema(_FIRST_DATES).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return first_dates_of(notes)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Replace a whole table.
 

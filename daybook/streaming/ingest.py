@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from daybook.operators.metrics import first_dates
 from daybook.plans.load import load_transactions
 from daybook.plans.refresh import update_daily
 from daybook.schemas import TRANSACTIONS
 from daybook.sources.files import FILE_SCHEMA, REQUIRED_TRANSACTION_COLUMNS, read_csv_files
-from daybook.sources.tables import append_transactions, read_transactions
+from daybook.sources.tables import (
+    add_first_dates,
+    append_transactions,
+    read_first_dates,
+    read_transactions,
+)
 
 
 def ingest_stream(
@@ -24,6 +30,7 @@ def ingest_stream(
     *,
     rejects: str | None = None,
     daily: str | None = None,
+    first_dates_table: str | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = 1000,
     compat: bool = False,
@@ -36,8 +43,10 @@ def ingest_stream(
     the memory of what is loaded, so no state grows with the stream, and a
     replayed batch finds its keys stored. `rejects` receives rejected rows and
     skipped files as JSON, one folder per batch, overwritten by a replay.
-    `daily` is updated after each batch. Files of the last batch are archived
-    when the next one is planned.
+    `daily` is updated after each batch; with `first_dates_table` the first
+    dates are noted there as rows are loaded, and the update does not scan all
+    stored transactions for them. Files of the last batch are archived when the
+    next one is planned.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -58,6 +67,13 @@ def ingest_stream(
         session = batch.sparkSession
         raw, skipped = read_csv_files(session, found, TRANSACTIONS, REQUIRED_TRANSACTION_COLUMNS)
         result = load_transactions(raw, read_transactions(session, table), compat)
+        if first_dates_table:
+            # Before the rows are stored: a replay finds them stored and would
+            # not note them again.
+            if read_first_dates(session, first_dates_table) is None:
+                stored = first_dates(read_transactions(session, table))
+                add_first_dates(stored, first_dates_table)
+            add_first_dates(first_dates(result.to_append), first_dates_table)
         append_transactions(result.to_append, table)
         if rejects:
             notes = session.createDataFrame(
@@ -68,7 +84,8 @@ def ingest_stream(
             rows.write.mode("overwrite").json(run)
         if daily:
             run_ts = session.sql("SELECT substring(string(localtimestamp()), 1, 19)").first()[0]
-            update_daily(session, read_transactions(session, table), daily, run_ts)
+            first = read_first_dates(session, first_dates_table) if first_dates_table else None
+            update_daily(session, read_transactions(session, table), daily, run_ts, first=first)
 
     writer = names.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer

@@ -85,3 +85,22 @@ def test_daily_table_follows_the_load(spark, tmp_path):
     rows = {r.day: r for r in db.read_daily(spark, daily).collect()}
     assert float(rows[date(2024, 1, 1)].amount_sum) == 20.0
     assert float(rows[date(2024, 1, 2)].mtd_total) == 30.0
+
+
+def test_noted_first_dates_give_the_same_daily_table(spark, tmp_path):
+    for side, extra in (("scanned", {}), ("noted", {"first_dates_table": "first"})):
+        home = tmp_path / side
+        extra = {k: str(home / v) for k, v in extra.items()}
+        land(home / "in", "a.csv", line("k1", "2024-01-05", "500"), line("k2", "2024-01-05", "900"))
+        run(spark, home, daily=str(home / "daily"))
+        land(home / "in", "b.csv", line("k3", "2024-01-03", "2000"), line("k4", "2024-01-06"))
+        run(spark, home, daily=str(home / "daily"), **extra)
+        land(home / "in", "c.csv", line("k5", "2024-01-07", "3000"))
+        run(spark, home, daily=str(home / "daily"), **extra)
+    columns = ("day", "first_transaction_date", "first_business_transaction_date", "mtd_total")
+    tables = [
+        sorted(map(tuple, db.read_daily(spark, str(tmp_path / side / "daily")).select(*columns).collect()))
+        for side in ("scanned", "noted")
+    ]
+    assert tables[0] == tables[1] and len(tables[0]) == 3
+    assert str(tables[0][-1][2]) == "2024-01-03 10:00:00"
