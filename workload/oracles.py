@@ -171,15 +171,20 @@ clean AS (
 
 # --- daily metrics -----------------------------------------------------------
 
-DAY_MEASURES = """
-    max("SourceAccountCreated") AS "sourceAccountCreated",
-    sum(CASE WHEN status = 'succeeded' AND transaction_type = 'charge' THEN amount * 0.01 ELSE 0 END) AS amount_sum,
-    cast(count(CASE WHEN status = 'succeeded' AND transaction_type = 'charge' AND amount > 0 THEN 1 END) AS integer) AS amount_count,
-    sum(CASE WHEN status = 'succeeded' AND transaction_type = 'refund' THEN refunded_amount * 0.01 ELSE 0 END) AS refund_sum,
-    cast(count(CASE WHEN status = 'succeeded' AND transaction_type = 'refund' AND refunded_amount > 0 THEN 1 END) AS integer) AS refund_count,
-    sum(CASE WHEN status = 'succeeded' AND transaction_type = 'void' THEN amount * 0.01 ELSE 0 END) AS void_sum,
-    cast(count(CASE WHEN status = 'succeeded' AND transaction_type = 'void' AND amount > 0 THEN 1 END) AS integer) AS voidcount
-"""
+OK = "status = 'succeeded'"
+
+
+def day_measures() -> str:
+    parts = ['max("SourceAccountCreated") AS "sourceAccountCreated"']
+    for kind, value, total, count in (
+        ("charge", "amount", "amount_sum", "amount_count"),
+        ("refund", "refunded_amount", "refund_sum", "refund_count"),
+        ("void", "amount", "void_sum", "voidcount"),
+    ):
+        chosen = f"{OK} AND transaction_type = '{kind}'"
+        parts.append(f"coalesce(sum({value}) FILTER (WHERE {chosen}), 0) * 0.01 AS {total}")
+        parts.append(f"cast(count(*) FILTER (WHERE {chosen} AND {value} > 0) AS integer) AS {count}")
+    return ",\n    ".join(parts)
 
 
 def bound(before: object = None, start: object = None) -> str:
@@ -194,14 +199,14 @@ def bound(before: object = None, start: object = None) -> str:
 def first(name: str, before: object = None, start: object = None) -> str:
     return f"""{name} AS (
   SELECT mid,
-    min(CASE WHEN status = 'succeeded' AND amount > 0 THEN transaction_date END) AS first_transaction_date,
-    min(CASE WHEN status = 'succeeded' AND amount > 1000 THEN transaction_date END) AS first_business_transaction_date
+    min(transaction_date) FILTER (WHERE {OK} AND amount > 0) AS first_transaction_date,
+    min(transaction_date) FILTER (WHERE {OK} AND amount > 1000) AS first_business_transaction_date
   FROM tx WHERE {bound(before, start)} GROUP BY mid)"""
 
 
 def daily(name: str, before: object = None, start: object = None) -> str:
     return f"""{name}_sums AS (
-  SELECT cast(transaction_date AS date) AS day, mid, merchant_name, {DAY_MEASURES}
+  SELECT cast(transaction_date AS date) AS day, mid, merchant_name, {day_measures()}
   FROM tx WHERE {bound(before, start)} AND merchant_name IS NOT NULL
   GROUP BY cast(transaction_date AS date), mid, merchant_name),
 {name} AS (
@@ -210,12 +215,12 @@ def daily(name: str, before: object = None, start: object = None) -> str:
 
 
 def running(name: str, source: str) -> str:
-    order = "ORDER BY day, merchant_name ROWS UNBOUNDED PRECEDING"
+    frame = "ORDER BY day, merchant_name ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     return f"""{name} AS (
-  SELECT *,
-    sum(total) OVER (PARTITION BY mid, year(day), month(day) {order}) AS mtd_total,
-    sum(total) OVER (PARTITION BY mid, year(day) {order}) AS ytd_total
-  FROM {source})"""
+  SELECT *, sum(total) OVER in_month AS mtd_total, sum(total) OVER in_year AS ytd_total
+  FROM {source}
+  WINDOW in_month AS (PARTITION BY mid, date_trunc('month', day) {frame}),
+    in_year AS (PARTITION BY mid, date_trunc('year', day) {frame}))"""
 
 
 def sunk(name: str, source: str, first_name: str) -> str:
