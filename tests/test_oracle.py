@@ -25,5 +25,7 @@ def test_entry_points(spark):
     spec = importlib.util.spec_from_file_location("spark_entry", path)
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
-    assert set(module.oracle_sql()) == set(module.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(module.queries())
+    assert set(module.oracle_sql()) <= set(module.queries())
     assert module.entry(spark).count() > 0
