@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from daybook.llm.digests import base_digest, count_of, listed
 from daybook.llm.pii import BASE_KINDS as PII_KINDS
 from daybook.llm.pii import find_pii
+from daybook.llm.secrets import BASE_KINDS as SECRET_KINDS
+from daybook.llm.secrets import EXAMPLE, LIVE, find_secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +27,23 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("secrets")
+    with_verdict = lambda v: F.size(F.filter(spans, lambda s: s["verdict"] == v)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count_of(spans, kind).alias(f"n_{kind}") for kind in SECRET_KINDS),
+        base_digest(spans).alias("base_sha256"),
+        listed(spans).alias("spans"),
+        with_verdict(LIVE).alias("n_live"),
+        with_verdict(EXAMPLE).alias("n_example"),
+    )
+
+
 QUERIES = {
     "op5_pii": op5_pii,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
