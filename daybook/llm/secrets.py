@@ -118,8 +118,8 @@ def ownership(found: DataFrame) -> DataFrame:
     `found` has `value_hash`, `repository`, `owner`. Pairs are made distinct in
     each task before they meet, so a value in every document is no hot group.
     """
-    repositories = found.groupBy("value_hash", "repository").agg().groupBy("value_hash")
-    owners = found.groupBy("value_hash", "owner").agg().groupBy("value_hash")
+    repositories = found.select("value_hash", "repository").distinct().groupBy("value_hash")
+    owners = found.select("value_hash", "owner").distinct().groupBy("value_hash")
     return repositories.agg(F.count("repository").alias("repositories")).join(
         owners.agg(F.count("owner").alias("owners")), "value_hash"
     )
