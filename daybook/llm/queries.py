@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.decontaminate import find_contamination
 from daybook.llm.digests import base_digest, count_of, listed
+from daybook.llm.mixing import mix
 from daybook.llm.pii import BASE_KINDS as PII_KINDS
 from daybook.llm.pii import find_pii
 from daybook.llm.secrets import BASE_KINDS as SECRET_KINDS
 from daybook.llm.secrets import EXAMPLE, LIVE, find_secrets
+from daybook.llm.simhash import as_hex, find_near_duplicates
+from daybook.llm.stream_dedup import deduplicate
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +31,33 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hit_words").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hit_words") > 0).alias("contaminated"),
+    )
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     spans = F.col("secrets")
@@ -43,7 +74,56 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_pii": op5_pii,
+    "op6_stream_dedup": op6_stream_dedup,
+    "op7_simhash": op7_simhash,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+# White space and separators as the contracts name them, for the SQL engine.
+_SQL_SPACE = "[\\x20\\x09-\\x0D]+"
+_SQL_SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+ORACLES: dict[str, str] = {
+    "op6_stream_dedup": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SQL_SPACE}', ' ', 'g') AS t FROM documents
+        ), g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+        FROM d JOIN g USING (t)
+    """,
+    "op8_decontaminate": f"""
+        WITH dw AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_SQL_SEPARATORS}'),
+                lambda w: w <> '') AS w
+            FROM documents
+        ), bw AS (
+            SELECT item_id, list_filter(
+                string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_SQL_SEPARATORS}'),
+                lambda w: w <> '') AS w
+            FROM benchmark
+        ), wins AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS m,
+                   array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+            FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM bw WHERE len(w) > 0)
+        ), places AS (
+            SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS win
+            FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                  FROM dw, (SELECT DISTINCT m FROM wins) WHERE len(w) >= m)
+        ), hits AS (SELECT doc_id, i, places.m, item_id FROM places JOIN wins USING (win, m)),
+        hit_words AS (
+            SELECT doc_id, count(DISTINCT p) AS n
+            FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hits) GROUP BY doc_id
+        ), hit_items AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+            FROM hits GROUP BY doc_id
+        )
+        SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(hit_words.n, 0) AS n_hit,
+               coalesce(hit_items.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(hit_words.n, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+}
