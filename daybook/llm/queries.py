@@ -7,19 +7,55 @@ from pyspark.sql import functions as F
 
 from daybook.llm.decontaminate import find_contamination
 from daybook.llm.digests import base_digest, count_of, listed
+from daybook.llm.grading import grade, grades_of
+from daybook.llm.lattice import read_vocabulary, score_documents
 from daybook.llm.mixing import mix
 from daybook.llm.pii import BASE_KINDS as PII_KINDS
 from daybook.llm.pii import find_pii
 from daybook.llm.secrets import BASE_KINDS as SECRET_KINDS
 from daybook.llm.secrets import EXAMPLE, LIVE, find_secrets
+from daybook.llm.sharding import shard
 from daybook.llm.simhash import as_hex, find_near_duplicates
 from daybook.llm.stream_dedup import deduplicate
+from daybook.llm.token_files import tokenize
+
+SHARDS = 40
+
+
+def vocabulary_path(name: str) -> str:
+    """Where a public tokenizer's file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = read_vocabulary(vocabulary_path("piece_bpe_32k.model"))
+    return score_documents(table(spark, sf_dir, "documents"), pieces)
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned = shard(table(spark, sf_dir, "documents"), SHARDS)
+    return assigned.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
+def op4_grading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    ratings = grades_of(labels, F.col("quality"), F.col("toxic"))
+    return grade(table(spark, sf_dir, "documents"), ratings)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     spans = F.col("pii")
@@ -73,6 +109,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lattice": op1_lattice,
+    "op2_sharding": op2_sharding,
+    "op3_token_files": op3_token_files,
+    "op4_grading": op4_grading,
     "op5_pii": op5_pii,
     "op6_stream_dedup": op6_stream_dedup,
     "op7_simhash": op7_simhash,
