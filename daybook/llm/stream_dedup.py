@@ -32,6 +32,8 @@ STATE_SETTINGS = {
     # All state of an executor shares one bounded cache; the rest is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # A store for each partition: megabytes set aside in advance would add up.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
