@@ -157,13 +157,16 @@ def deduplicate(
         .agg(F.min("place").alias("keep"), F.count("*").alias("rows")),
         "dedup-classes",
     )
-    clashing = classes.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    settled = located.select("place", "digest").join(clashing, "digest", "left_anti").join(entries, "digest")
-    by_bytes = located.join(clashing, "digest", "left_semi").join(classes, ["digest", "text"])
+    clashing = materialize(
+        classes.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "dedup-clashes"
+    )
+    columns = ("place", "digest", "keep", "rows")
+    decided = located.select("place", "digest").join(entries, "digest").select(*columns)
+    if not clashing.isEmpty():
+        by_bytes = located.join(clashing, "digest", "left_semi").join(classes, ["digest", "text"])
+        decided = decided.join(clashing, "digest", "left_anti").select(*columns).unionByName(by_bytes.select(*columns))
     return (
-        settled.select("place", "digest", "keep", "rows")
-        .unionByName(by_bytes.select("place", "digest", "keep", "rows"))
-        .select(
+        decided.select(
             F.col("place.id").alias("doc_id"),
             "digest",
             F.col("keep.id").alias("keep_id"),
