@@ -24,6 +24,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ MAX_RATED = 10_000
 MAX_ENTRIES = 20_000_000
 MIN_DOCUMENTS = 3
 RIDGE = 3e-3
+# Texts are taken apart together up to this length, longer ones alone.
+_SLICE_BYTES = 2_000_000
 _SHAPE = bytes(
     97 if 97 <= b <= 122 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 120 if b >= 128 else b
     for b in range(256)
@@ -50,6 +53,7 @@ def _hashed(kind: bytes, value: bytes) -> int:
     return zlib.crc32(kind + value) % FEATURES
 
 
+@lru_cache(maxsize=100_000)
 def _word_features(word: bytes) -> tuple[int, int, int]:
     """Features of one word: itself, its beginning, its shape."""
     lower = word.lower()
@@ -88,6 +92,18 @@ def featurise(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (keys % FEATURES).astype(np.int32), np.bincount(keys // FEATURES, minlength=len(texts))
 
 
+def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """A batch in consecutive parts whose texts are of bounded length together.
+
+    What `featurise` holds is a multiple of its texts; an empty batch has no part.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // _SLICE_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], len(part)]):
+        yield batch.slice(a, b - a)
+
+
 @dataclass
 class Model:
     """Shared weights and ordered thresholds; `None`: nothing was learned."""
@@ -212,7 +228,7 @@ def train(
     """Fit on a bounded sample; the driver receives its hashed features only."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             found, counts = featurise(batch.column("text").to_pylist())
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -250,7 +266,7 @@ def score(rows: DataFrame, model: Model, wanted: int, keep: list[str], text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             n = batch.num_rows
             if model.weights is None:
                 grade, tail = np.full(n, float(len(model.thresholds))), np.ones(n)
