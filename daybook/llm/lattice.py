@@ -48,7 +48,10 @@ SMOOTHING = 0.1
 MAX_PIECES = 200_000
 BROADCAST_WORDS = 100_000
 BROADCAST_WORD_BYTES = 64
+# Words up to this length are scored many at a time, longer ones one by one.
+LONGEST_TOGETHER = 32
 _TINY = -1e300
+_CHARACTER_BITS = 21
 
 
 def read_vocabulary(path: str, max_pieces: int = MAX_PIECES) -> list[str]:
@@ -157,6 +160,124 @@ def expected(word: str, pieces: Pieces, widest: int, into: dict[str, float]) ->
     into["end"] = into.get("end", 0.0) + 1.0
 
 
+class Trie:
+    """The pieces as steps from node to node by a character, for many words at once."""
+
+    def __init__(self, pieces: Pieces):
+        steps: dict[int, int] = {}
+        scores, names = [-np.inf], [""]
+        for piece, score in pieces.scores.items():
+            at = 0
+            for c in piece:
+                key = at << _CHARACTER_BITS | ord(c)
+                if key not in steps:
+                    steps[key] = len(scores)
+                    scores.append(-np.inf)
+                    names.append("")
+                at = steps[key]
+            scores[at], names[at] = score, piece
+        self.keys = np.array(sorted(steps), dtype=np.int64)
+        self.to = np.array([steps[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.scores, self.names = np.array(scores), names
+        self.after_mark = steps.get(ord(MARK), -1)
+        self.byte_scores, self.end = pieces.byte_scores, pieces.end
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The next nodes; -1 where no piece goes on."""
+        wanted = nodes << _CHARACTER_BITS | chars
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.to[at], -1)
+
+    def edges(self, chars: np.ndarray, start: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(to, words, nodes) of the pieces from place `start`; see `edges` above."""
+        words = np.arange(len(chars))
+        first = 0 if start else self.after_mark
+        if first < 0 or not len(self.keys):
+            return
+        nodes = np.full(len(words), first, dtype=np.int64)
+        for to in range(start + 1, chars.shape[1] + 1):
+            nodes = self.step(nodes, chars[words, to - 1])
+            go_on = nodes >= 0
+            words, nodes = words[go_on], nodes[go_on]
+            if not len(words):
+                return
+            ends = self.scores[nodes] > -np.inf
+            yield to, words[ends], nodes[ends]
+
+
+def _of_one_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, characters as a matrix) of the words of each length."""
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    for n in np.unique(lengths[lengths <= LONGEST_TOGETHER]).tolist():
+        where = np.flatnonzero(lengths == n)
+        text = "".join(words[i] for i in where.tolist()).encode("utf-32-le", "surrogatepass")
+        yield where, np.frombuffer(text, dtype="<u4").astype(np.int64).reshape(len(where), n)
+
+
+def _forward(chars: np.ndarray, trie: Trie) -> tuple[np.ndarray, np.ndarray, list, np.ndarray, np.ndarray]:
+    """Forward values by place and word, scores of single characters, all edges.
+
+    The last two are the different characters and where each stands.
+    """
+    known, at = np.unique(chars, return_inverse=True)
+    by_bytes = np.array([sum(trie.byte_scores[b] for b in chr(c).encode("utf-8", "surrogatepass")) for c in known])
+    at = at.reshape(chars.shape)
+    single = by_bytes[at] if len(known) else np.zeros(chars.shape)
+    forward = np.full((chars.shape[1] + 1, len(chars)), -np.inf)
+    forward[0] = 0.0
+    found = []
+    for start in range(chars.shape[1]):
+        for to, words, nodes in trie.edges(chars, start):
+            forward[to, words] = np.logaddexp(forward[to, words], forward[start, words] + trie.scores[nodes])
+            found.append((start, to, words, nodes))
+        forward[start + 1] = np.logaddexp(forward[start + 1], forward[start] + single[:, start])
+    return forward, single, found, known, at
+
+
+def spelled_many(words: list[str], pieces: Pieces, trie: Trie) -> np.ndarray:
+    """`spelled` for each word."""
+    out = np.zeros(len(words))
+    for where, chars in _of_one_length(words):
+        out[where] = _forward(chars, trie)[0][-1] + trie.end
+    widest = pieces.widest()
+    for i, word in enumerate(words):
+        if len(word) > LONGEST_TOGETHER:
+            out[i] = spelled(word, pieces, widest)
+    return out
+
+
+def expected_many(words: list[str], pieces: Pieces, trie: Trie, into: dict[str, float]) -> None:
+    """`expected` of all words."""
+    uses = np.zeros(len(trie.scores))
+    for where, chars in _of_one_length(words):
+        forward, single, found, known, at = _forward(chars, trie)
+        backward = np.full(forward.shape, -np.inf)
+        backward[-1] = 0.0
+        at_start: dict[int, list] = {}
+        for edge in found:
+            at_start.setdefault(edge[0], []).append(edge)
+        by_bytes = np.zeros(len(known))
+        for start in range(chars.shape[1] - 1, -1, -1):
+            backward[start] = backward[start + 1] + single[:, start]
+            part = np.exp(forward[start] + backward[start] - forward[-1])
+            by_bytes += np.bincount(at[:, start], part, minlength=len(known))
+            for _, to, some, nodes in at_start.get(start, ()):
+                way = trie.scores[nodes] + backward[to, some]
+                backward[start, some] = np.logaddexp(backward[start, some], way)
+                uses += np.bincount(nodes, np.exp(forward[start, some] + way - forward[-1, some]), minlength=len(uses))
+        for c, n in zip(known.tolist(), by_bytes.tolist()):
+            for b in chr(c).encode("utf-8", "surrogatepass"):
+                into[f"byte:{b}"] = into.get(f"byte:{b}", 0.0) + n
+        into["end"] = into.get("end", 0.0) + float(len(where))
+    for node in np.flatnonzero(uses).tolist():
+        key = f"piece:{trie.names[node]}"
+        into[key] = into.get(key, 0.0) + float(uses[node])
+    widest = pieces.widest()
+    for word in words:
+        if len(word) > LONGEST_TOGETHER:
+            expected(word, pieces, widest, into)
+
+
 def words_of(text: Column) -> Column:
     """The tokens of a text: its words and one end."""
     words = F.array_remove(F.split(ascii_lower(text), SPACE), "")
@@ -171,14 +292,12 @@ def _train_pieces(words: DataFrame, pieces: list[str], passes: int) -> Pieces:
     model = Pieces.even(pieces)
     spark = words.sparkSession
     for _ in range(passes):
-        held = spark.sparkContext.broadcast(model)
+        held = spark.sparkContext.broadcast((model, Trie(model)))
 
         def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            model, sums = held.value, {}
-            widest = model.widest()
+            (model, trie), sums = held.value, {}
             for batch in batches:
-                for word in batch.column(0).to_pylist():
-                    expected(word, model, widest, sums)
+                expected_many(batch.column(0).to_pylist(), model, trie, sums)
             yield pa.RecordBatch.from_pydict(
                 {"piece": pa.array(list(sums), pa.string()), "n": pa.array(list(sums.values()), pa.float64())}
             )
@@ -205,17 +324,18 @@ def score_words(counts: DataFrame, vocabulary: list[str], passes: int) -> tuple[
     train = counts.where(seen & (F.col("token") != END))
     pieces = _train_pieces(train, vocabulary, passes if n else 0)
     spark = counts.sparkSession
-    held = spark.sparkContext.broadcast(pieces)
+    held = spark.sparkContext.broadcast((pieces, Trie(pieces)))
     log_spelling = math.log(spelling)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        widest = model.widest()
+        model, trie = held.value
         for batch in batches:
             out = []
-            for token, c in zip(batch.column("token").to_pylist(), batch.column("c").to_pylist()):
+            tokens = batch.column("token").to_pylist()
+            spellings = spelled_many(tokens, model, trie).tolist()
+            for token, c, spelling in zip(tokens, batch.column("c").to_pylist(), spellings):
                 whole = math.log((c - discount) / n) if c else _TINY
-                by_pieces = _TINY if token == END else spelled(token, model, widest) + log_spelling
+                by_pieces = _TINY if token == END else spelling + log_spelling
                 out.append(max(_add(whole, by_pieces), -1e4 * (len(token) + 1)) / math.log(10))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=schema.names)
 
@@ -260,9 +380,11 @@ def score_documents(
     rows = id_and_text(docs, id_col, text_col)
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % hold_out == 0
     # Rows are told apart by id and text; the end token counts repeated ones.
-    tokens = rows.select(
-        "doc_id", F.md5("text").alias("md5"), held_out.alias("held_out"), F.explode(words_of(F.col("text"))).alias("token")
+    # The digest is taken once for each row, before its words are dealt out.
+    keyed = rows.select(
+        "doc_id", F.unhex(F.md5("text")).alias("md5"), held_out.alias("held_out"), words_of(F.col("text")).alias("words")
     )
+    tokens = keyed.select("doc_id", "md5", "held_out", F.explode("words").alias("token"))
     counts = materialize(
         tokens.groupBy("token").agg(F.count_if(~F.col("held_out")).alias("c"), F.count("*").alias("n_all")), "words"
     )

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm.lattice import (
-    MARK, Pieces, expected, frequent, read_vocabulary, score_documents, spelled,
+    MARK, Pieces, Trie, expected, expected_many, frequent, read_vocabulary, score_documents, spelled, spelled_many,
 )
 from daybook.llm.queries import vocabulary_path
 
@@ -56,6 +56,21 @@ def test_scores_of_pieces_sum_to_one():
     assert total == pytest.approx(1)
 
 
+def test_many_words_at_once_equal_one_by_one():
+    counts = {f"piece:{p}": n + 1.0 for n, p in enumerate(VOCABULARY)} | {"end": 5.0, "byte:195": 2.0}
+    words = ["a", "ab", "abab", "babab", "é", "aéb", "cccc", "zab", "a" + MARK + "b", "𝄞ba", "ab" * 16, "ab" * 17, "c" * 300, "", "ab"]
+    for pieces in (Pieces.even(VOCABULARY), Pieces.from_counts(VOCABULARY, counts), Pieces.even([])):
+        trie, widest = Trie(pieces), pieces.widest()
+        one_by_one = [spelled(w, pieces, widest) for w in words]
+        assert spelled_many(words, pieces, trie).tolist() == pytest.approx(one_by_one)
+        plain, together = {}, {}
+        for w in words:
+            expected(w, pieces, widest, plain)
+        expected_many(words, pieces, trie, together)
+        for key in plain.keys() | together.keys():
+            assert together.get(key, 0) == pytest.approx(plain.get(key, 0), abs=1e-6), key
+
+
 def plain_base(rows):
     tokens = [[*(t or "").encode().lower().split(), b" "] for _, t in rows]
     out = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
