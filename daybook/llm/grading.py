@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.rows import column, id_and_text
+from daybook.llm.rows import column, id_and_text, slices
 from daybook.workspace import materialize
 
 FEATURES = 1 << 18
@@ -92,18 +92,6 @@ def featurise(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (keys % FEATURES).astype(np.int32), np.bincount(keys // FEATURES, minlength=len(texts))
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """A batch in consecutive parts whose texts are of bounded length together.
-
-    What `featurise` holds is a multiple of its texts; an empty batch has no part.
-    """
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // _SLICE_BYTES
-    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
-    for a, b in zip(starts, [*starts[1:], len(part)]):
-        yield batch.slice(a, b - a)
-
-
 @dataclass
 class Model:
     """Shared weights and ordered thresholds; `None`: nothing was learned."""
@@ -228,7 +216,7 @@ def train(
     """Fit on a bounded sample; the driver receives its hashed features only."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", _SLICE_BYTES)):
             found, counts = featurise(batch.column("text").to_pylist())
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -266,7 +254,7 @@ def score(rows: DataFrame, model: Model, wanted: int, keep: list[str], text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        for batch in (part for whole in batches for part in slices(whole, text)):
+        for batch in (part for whole in batches for part in slices(whole, text, _SLICE_BYTES)):
             n = batch.num_rows
             if model.weights is None:
                 grade, tail = np.full(n, float(len(model.thresholds))), np.ones(n)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,3 +86,16 @@ def map_text(
             )
 
     return df.select(*keep, text).mapInArrow(run, schema)
+
+
+def slices(batch: pa.RecordBatch, text: str | int, at_most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in consecutive parts whose texts have about `at_most` bytes together.
+
+    A longer text comes with at most one part's worth of others. An empty batch
+    has no part.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // at_most
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], len(part)]):
+        yield batch.slice(a, b - a)

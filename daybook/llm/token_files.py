@@ -23,6 +23,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 from uuid import uuid4
 
 import numpy as np
@@ -32,14 +33,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.llm import elias_fano
-from daybook.llm.rows import id_and_text
+from daybook.llm.rows import id_and_text, slices
 from daybook.workspace import fresh_path, materialize
 
 MAGIC = b"EFTOKID1"
 _HEAD = struct.Struct("<8sBQQq")
 SEGMENT_IDS = 2_000_000
-_CACHED_PIECES = 400_000
+_CACHED_PIECES = 1_000_000
 _CACHED_LENGTH = 48
+# Texts are encoded together up to this length, longer ones alone.
+_TOGETHER = 2_000_000
 _JOINTS = re.compile(r"(?<=\S) (?=\S)")
 
 MANIFEST = "part int, segment int, name string, n_docs long, n_ids long"
@@ -68,46 +71,55 @@ class Encoder:
         self.line_feed = self.encode_plain(["\n"])[0]
 
     def encode_plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
-
-    def _learn(self, pieces: list[str], known: dict[str, bytes], before: str) -> None:
-        new = list({p for p in pieces if p not in known})
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), dtype=self.kind).tobytes()
+        width = int(self.kind[-1])
+        ends = list(accumulate(width * len(f) for f in found))
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, pieces: set[str], known: dict[str, bytes], before: str) -> None:
+        new = pieces.difference(known)
         if len(known) + len(new) > _CACHED_PIECES:
             known.clear()
-            new = list(set(pieces))
-        known.update(zip(new, self.encode_plain([before + p for p in new])))
-
-    def _line(self, line: str) -> bytes:
-        head, *rest = line.split(" ")
-        if head not in self.first:
-            self._learn([head], self.first, "")
-        try:
-            inner = b"".join(map(self.inner.__getitem__, rest))
-        except KeyError:
-            self._learn(rest, self.inner, " ")
-            inner = b"".join(map(self.inner.__getitem__, rest))
-        return self.first[head] + inner
-
-    def encode(self, text: str) -> bytes:
+            new = pieces
+        if new:
+            known.update(zip(new, self.encode_plain([before + p for p in new])))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the pieces not met before go through the tokenizer together."""
+        cut = [self._cut(t) for t in texts]
+        lines = [line for text in cut if text for line in text]
+        self._learn({line[0] for line in lines}, self.first, "")
+        self._learn({w for line in lines for w in line[1:]}, self.inner, " ")
+        return [
+            self._whole(t) if c is None else self.line_feed.join(map(self._line, c)) for t, c in zip(texts, cut)
+        ]
+
+    def _line(self, words: list[str]) -> bytes:
+        return self.first[words[0]] + b"".join(map(self.inner.__getitem__, words[1:]))
+
+    def _whole(self, text: str) -> bytes:
         if not text:
             return b""
-        lines = text.split("\n")
-        if all(self._plain(line) for line in lines):
-            return self.line_feed.join(map(self._line, lines))
         head, *rest = _JOINTS.split(text)
         return b"".join(self.encode_plain([head, *(" " + p for p in rest)]))
 
     @staticmethod
-    def _plain(line: str) -> bool:
-        """Only single blanks between words, and no word of unusual length."""
-        if not line or line[0].isspace() or line[-1].isspace() or "  " in line:
-            return False
-        words = line.split(" ")
-        if max(map(len, words)) > _CACHED_LENGTH:
-            return False
-        # Without other white space the two ways to cut agree.
-        return len(line.split()) == len(words)
+    def _cut(text: str) -> list[list[str]] | None:
+        """The words of each line; None unless single blanks and line feeds part them.
+
+        Nor is a text with a word of unusual length cut in this way.
+        """
+        lines = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            # Without other white space the two ways to cut agree.
+            if not line or line[0].isspace() or line[-1].isspace() or "  " in line or len(line.split()) != len(words):
+                return None
+            if len(line) > _CACHED_LENGTH and max(map(len, words)) > _CACHED_LENGTH:
+                return None
+            lines.append(words)
+        return lines
 
 
 _encoders: dict[str, Encoder] = {}
@@ -215,9 +227,9 @@ def write_tokens(
             held, lengths, names, size, segment = [], [], [], 0, segment + 1
             return row
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = coder.encode(text) + end
+        for batch in (part for whole in batches for part in slices(whole, 1, _TOGETHER)):
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):
+                ids = encoded + end
                 if names and size + len(ids) // width > segment_ids:
                     yield flush()
                 held.append(ids)

@@ -78,15 +78,14 @@ def test_odd_rows(spark, tables):
     assert grade(docs.limit(0), ratings).count() == 0
 
 
-def test_slices_cover_a_batch_in_order(monkeypatch):
+def test_slices_cover_a_batch_in_order():
     import pyarrow as pa
 
-    from daybook.llm import grading
+    from daybook.llm.rows import slices
 
-    monkeypatch.setattr(grading, "_SLICE_BYTES", 10)
     texts = ["", None, "abcd", "x" * 50, "efgh", "ijkl", "", "y" * 9]
     batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "n": list(range(len(texts)))})
-    parts = list(grading.slices(batch, "text"))
+    parts = list(slices(batch, "text", 10))
     assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(len(texts)))
     assert len(parts) > 3 and max(sum(len(t or "") for t in p.column("text").to_pylist()) for p in parts) < 70
-    assert list(grading.slices(batch.slice(0, 0), "text")) == []
+    assert list(slices(batch.slice(0, 0), "text", 10)) == []
