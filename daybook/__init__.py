@@ -2,7 +2,7 @@
 
 from daybook.functions.idlist import format_ids, pad_zeros, parse_ids, strip_zeros
 from daybook.operators.cleaning import clean_merchants, clean_transactions
-from daybook.operators.dedup import append_ignore, dedup_first, known_keys
+from daybook.operators.dedup import append_ignore, dedup_first, known_keys, upsert_latest
 from daybook.operators.merchants import merchant_export
 from daybook.operators.metrics import (
     daily_aggregates,
@@ -51,6 +51,6 @@ from daybook.sources.tables import (
     replace_table,
     write_daily,
 )
-from daybook.streaming.ingest import ingest_stream
+from daybook.streaming.ingest import ingest_stream, load_new_files
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -51,12 +51,16 @@ def _may_have_fraction(c: Column) -> Column:
 
 
 def has_fraction(c: Column) -> Column:
-    """True where the text of a number is not whole.
+    """True where the text of a number is not whole, however small the rest.
 
-    Plain digits, the usual case, are told by their look.
+    Plain digits, the usual case, are told by their look. So are decimals: any
+    digit but zero behind the point. With an exponent the value is looked at.
     """
     number = to_number(c)
-    return _may_have_fraction(c) & F.coalesce(number != F.floor(number), F.lit(False))
+    lost = c.try_cast("double")
+    by_value = F.coalesce(number != F.floor(number), F.lit(False)) | F.coalesce(lost != F.rint(lost), F.lit(False))
+    by_look = c.rlike("\\.\\d*[1-9]") & number.isNotNull()
+    return _may_have_fraction(c) & F.when(F.contains(F.lower(c), F.lit("e")), by_value).otherwise(by_look)
 
 
 def to_whole(c: Column, kind: str = "bigint") -> Column:
@@ -65,7 +69,7 @@ def to_whole(c: Column, kind: str = "bigint") -> Column:
     number = to_number(c)
     return (
         F.when(~_may_have_fraction(c), c.try_cast(kind))
-        .when(number == F.floor(number), number.try_cast(kind))
+        .when(~has_fraction(c), number.try_cast(kind))
     )
 
 

@@ -37,8 +37,8 @@ def known_keys(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
     The small result, not the stored table, decides about each new row. A
     small batch is broadcast against the stored keys, which then stay where
-    they are; for a large one the engine thins them out before the shuffle.
-    Only the key column is read.
+    they are; a table bucketed by the key is not shuffled for a large batch
+    either. Only the key column is read.
     """
     return existing.select(key).join(new.select(key), key, "left_semi")
 
@@ -52,3 +52,21 @@ def append_ignore(new: DataFrame, existing: DataFrame, key: str) -> tuple[DataFr
     """
     known = known_keys(new, existing, key)
     return new.join(known, key, "left_anti"), new.join(known, key, "left_semi")
+
+
+def upsert_latest(new: DataFrame, existing: DataFrame, key: str, version: str) -> DataFrame:
+    """The table after new rows replaced older ones of their key.
+
+    The row with the highest `version` stays, a NULL version below all others; a
+    stored row wins a tie, and among new rows the higher values in column order
+    do. Each task keeps one candidate per key before the shuffle, so a key with
+    very many versions does not gather in one task. Rows without a key are left
+    out.
+    """
+    columns = existing.columns
+    tagged = existing.withColumn("_stored", F.lit(1)).unionByName(
+        new.select(*columns).withColumn("_stored", F.lit(0))
+    )
+    newest = F.max(F.struct(F.col(version).alias("v"), F.col("_stored"), F.struct(*columns).alias("row")))
+    kept = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(newest.alias("_newest"))
+    return kept.select("_newest.row.*")

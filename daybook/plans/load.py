@@ -17,7 +17,7 @@ from daybook.operators.quality import (
     require_constraints,
     split_rejects,
 )
-from daybook.schemas import MERCHANT_KEY, MERCHANTS, TRANSACTION_KEY
+from daybook.schemas import MERCHANT_KEY, MERCHANTS, MONEY_COLUMNS, TRANSACTION_KEY
 from daybook.sources.extract import FAILURE, extract_window, read_control, write_control
 from daybook.sources.files import (
     LINEAGE,
@@ -25,10 +25,12 @@ from daybook.sources.files import (
     SOURCE_FILE,
     SOURCE_ROW,
     export_csv,
-    read_merchants_csv,
+    export_of,
+    merchant_files,
+    read_csv_files,
 )
 from daybook.sources.tables import replace_table
-from daybook.workspace import materialize
+from daybook.workspace import materialize, move_path, scratch
 
 _COPIES = "_copies"
 
@@ -52,11 +54,18 @@ def load_transactions(raw: DataFrame, existing: DataFrame, compat: bool = False)
     names. A key that is already stored wins over all of them. Both decisions
     are stored before anything is returned, so appending cannot change them.
     """
-    cleaned = clean_transactions(raw, compat)
+    # The control totals sum what landed, not what typing made of it.
+    landed = raw.withColumns({f"_landed_{c}": F.col(c) for c in (*MONEY_COLUMNS, "transaction_type") if c in raw.columns})
+    cleaned = clean_transactions(landed, compat)
     place = [SOURCE_BLOCK, SOURCE_ROW]
     staged = materialize(
         dedup_first(cleaned, [SOURCE_FILE, TRANSACTION_KEY], place, _COPIES), "landed"
     )
+    as_landed = [c for c in staged.columns if c.startswith("_landed_")]
+    totals = control_totals(
+        staged.select(SOURCE_FILE, *(F.col(c).alias(c.removeprefix("_landed_")) for c in as_landed))
+    )
+    staged = staged.drop(*as_landed)
     accepted, rejected = split_rejects(staged)
     # One row per file and key is left, so these groups are as small as the
     # number of files.
@@ -85,26 +94,38 @@ def load_transactions(raw: DataFrame, existing: DataFrame, compat: bool = False)
         to_append.drop(*LINEAGE),
         ignored.drop(_COPIES),
         rejected.drop(_COPIES),
-        control_totals(staged),
+        totals,
         report,
     )
 
 
-def load_merchants(spark: SparkSession, folder: str, path: str, pattern: str = "*.csv") -> int:
+def load_merchants(
+    spark: SparkSession, folder: str, path: str, pattern: str = "*.csv", archive_dir: str | None = None
+) -> int:
     """Replace the merchants table by the newest export; returns its row count.
 
-    A repeated or missing key, or a row that cannot be stored, stops the load
-    before the table is touched.
+    Without an export the table stays as it is, and 0 is returned. A repeated
+    or missing key, or a row that cannot be stored, stops the load before the
+    table is touched. After success the export goes to `archive_dir`.
     """
-    cleaned = materialize(clean_merchants(read_merchants_csv(spark, folder, pattern)), "merchants")
-    # There are only as many reasons as checks.
-    bad = cleaned.where(F.col(REASON).isNotNull()).groupBy(REASON).count().orderBy(REASON)
-    reasons = [f"{r[REASON]} ({r['count']} rows)" for r in bad.collect()]
-    if reasons:
-        raise ConstraintError("; ".join(reasons))
-    require_constraints(cleaned, MERCHANT_KEY)
-    replace_table(cleaned.select(*MERCHANTS.fieldNames()), path)
-    return cleaned.count()
+    files = merchant_files(spark, folder, pattern)
+    if not files:
+        return 0
+    with scratch(spark):
+        landed = read_csv_files(spark, files, MERCHANTS, (), multi_line=True)[0]
+        cleaned = materialize(clean_merchants(landed), "merchants")
+        # There are only as many reasons as checks.
+        bad = cleaned.where(F.col(REASON).isNotNull()).groupBy(REASON).count().orderBy(REASON)
+        reasons = [f"{r[REASON]} ({r['count']} rows)" for r in bad.collect()]
+        if reasons:
+            raise ConstraintError("; ".join(reasons))
+        require_constraints(cleaned, MERCHANT_KEY)
+        replace_table(cleaned.select(*MERCHANTS.fieldNames()), path)
+        rows = cleaned.count()
+    if archive_dir:
+        for export in sorted({export_of(f) for f in files}):
+            move_path(spark, export, f"{archive_dir.rstrip('/')}/{export.rpartition('/')[2]}")
+    return rows
 
 
 def export_transactions(

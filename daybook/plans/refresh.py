@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import metrics
+from daybook.operators.quality import require_constraints
 from daybook.operators.running import (
     ROWS_PER_TASK,
     continue_totals,
@@ -19,10 +21,14 @@ from daybook.operators.summary import (
     summary_full,
     summary_incremental,
     watermark,
+    watermark_message,
 )
 from daybook.operators.surrogate import with_surrogate_key
+from daybook.schemas import DAILY_KEY, DAILY_NOT_NULL
 from daybook.sources.tables import read_daily, replace_months, write_daily
-from daybook.workspace import materialize
+from daybook.workspace import materialize, scratch
+
+logger = logging.getLogger("daybook")
 
 
 def full_refresh(
@@ -61,6 +67,9 @@ def incremental_rows(
     continued = continue_totals(summed, opening, wm)
     if first is None:
         first = metrics.first_dates(tx, as_of)
+    elif as_of is not None:
+        # A kept date is the earliest there is: at or after the bound, none is before.
+        first = first.withColumns({c: F.when(F.col(c) < F.lit(as_of), F.col(c)) for c in metrics.FIRST_DATES})
     return metrics.to_sink(metrics.with_first_dates(continued, first)), pairs
 
 
@@ -90,9 +99,14 @@ def incremental_update(
 def rebuild_daily(
     spark: SparkSession, tx: DataFrame, path: str, as_of: date, run_ts: str
 ) -> DataFrame:
-    """Rebuild the stored daily table; returns its summary."""
-    rows = metrics.to_sink(with_surrogate_key(full_refresh(tx, as_of)), run_ts)
-    write_daily(rows, path)
+    """Rebuild the stored daily table; returns its summary.
+
+    Rows that break a rule of the table stop the rebuild before it is touched.
+    """
+    with scratch(spark):
+        rows = materialize(metrics.to_sink(with_surrogate_key(full_refresh(tx, as_of)), run_ts), "rebuilt")
+        require_constraints(rows, DAILY_KEY, DAILY_NOT_NULL)
+        write_daily(rows, path)
     return summary_full(read_daily(spark, path))
 
 
@@ -112,13 +126,16 @@ def update_daily(
     """
     stored = read_daily(spark, path)
     wm = watermark(stored, lookback_days)
-    new, pairs = incremental_rows(tx, stored, wm, as_of, first)
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
-    numbered = metrics.to_sink(with_surrogate_key(new, top + 1), run_ts)
-    touched = stored.where(F.col("month") >= f"{wm:%Y-%m}")
-    pairs = pairs.withColumn("mid", F.col("mid").cast("string"))
-    kept = touched.where(F.col("day") < F.lit(wm)).unionByName(
-        delete_pairs(touched.where(F.col("day") >= F.lit(wm)), pairs)
-    )
-    replace_months(kept.select(*numbered.columns).unionByName(numbered), path)
+    logger.info(watermark_message(wm))
+    with scratch(spark):
+        new, pairs = incremental_rows(tx, stored, wm, as_of, first)
+        top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
+        numbered = materialize(metrics.to_sink(with_surrogate_key(new, top + 1), run_ts), "numbered-days")
+        require_constraints(numbered, DAILY_KEY, DAILY_NOT_NULL)
+        touched = stored.where(F.col("month") >= f"{wm:%Y-%m}")
+        pairs = pairs.withColumn("mid", F.col("mid").cast("string"))
+        kept = touched.where(F.col("day") < F.lit(wm)).unionByName(
+            delete_pairs(touched.where(F.col("day") >= F.lit(wm)), pairs)
+        )
+        replace_months(kept.select(*numbered.columns).unionByName(numbered), path)
     return summary_incremental(read_daily(spark, path), wm)

@@ -18,8 +18,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     METHOD_SIZE[0]: METHOD_SIZE[1],
-    # Join keys of a large stored table are thinned out before its shuffle.
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Zone-less timestamps everywhere; the zone only matters for the few
     # engine functions that need one.
     "spark.sql.session.timeZone": "UTC",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import csv
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from daybook.operators.cleaning import MALFORMED
 from daybook.schemas import MERCHANTS, MONEY_COLUMNS, TRANSACTION_KEY, TRANSACTIONS, as_strings
+from daybook.workspace import path_exists
 
 SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW = "source_file", "source_block", "source_row"
 LINEAGE = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW)
@@ -26,8 +27,6 @@ LINEAGE_SCHEMA = T.StructType(
 REQUIRED_TRANSACTION_COLUMNS = (TRANSACTION_KEY, *MONEY_COLUMNS)
 # Quotes inside a quoted field are doubled, on reading and on writing.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
-# Up to this many files, each is asked for its header by a job of its own.
-HEADER_JOBS = 1000
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -60,13 +59,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list
 
 
 def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each file.
+    """Column names of each file, by the rules of the reader of the data.
 
-    A usual batch asks each file for its first line. For very many files, one
-    distributed pass over the text is quicker than a small job for each.
+    Each file is asked for its first record only, many at a time; how many
+    files there are makes no difference to what is loaded. Streams bound their
+    number by `files_per_batch`.
     """
-    if len(paths) > HEADER_JOBS:
-        return _headers_in_one_pass(spark, paths)
 
     def header(path: str) -> tuple[str, ...]:
         return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
@@ -75,18 +73,6 @@ def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str,
         return dict(zip(paths, pool.map(header, paths)))
 
 
-def _headers_in_one_pass(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    # A file without any line is left out, as there is nothing to load from it.
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            F.col("_metadata.file_block_start"), F.monotonically_increasing_id(), "value"
-        ).alias("line"),
-    )
-    first = lines.groupBy("path").agg(F.min("line")["value"].alias("header"))
-    return {r.path: tuple(next(csv.reader([r.header]))) for r in first.toLocalIterator()}
-
-
 def _read_group(
     spark: SparkSession, paths: list[str], header: tuple[str, ...], wanted, multi_line: bool
 ) -> DataFrame:
@@ -159,23 +145,43 @@ def read_merchants_csv(
     spark: SparkSession, folder: str, pattern: str = "*.csv", multi_line: bool = True
 ) -> DataFrame:
     """The newest merchant export of a folder as text rows."""
-    paths = newest_export(list_files(spark, folder, pattern))
-    return read_csv_files(spark, paths, MERCHANTS, (), multi_line)[0]
+    return read_csv_files(spark, merchant_files(spark, folder, pattern), MERCHANTS, (), multi_line)[0]
+
+
+def merchant_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
+    """The files of the newest complete merchant export; none when there is none.
+
+    A ``run=`` folder is complete once its writer has marked it so.
+    """
+    found = list_files(spark, folder, pattern)
+    runs = {export_of(p) for p in found if export_of(p) != p}
+    open_ = {r for r in runs if not path_exists(spark, f"{r}/_SUCCESS")}
+    return newest_export([p for p in found if export_of(p) not in open_])
+
+
+_STAMP = re.compile(r"\d{8}_\d{6}")
+
+
+def export_of(path: str) -> str:
+    """The export a file belongs to: its ``run=<stamp>`` folder, or itself."""
+    folder, _, _ = path.rpartition("/")
+    return folder if folder.rpartition("/")[2].startswith("run=") else path
 
 
 def newest_export(paths: list[str]) -> list[str]:
     """The files of the newest export, by the time stamp in their names.
 
-    An export is either one stamped file or a ``run=<stamp>`` folder.
+    An export is either one stamped file or a ``run=<stamp>`` folder. Names
+    without a stamp come before all others, in their own order.
     """
 
-    def run(path: str) -> str:
-        parts = path.split("/")
-        folders = [p for p in parts if p.startswith("run=")]
-        return folders[-1].removeprefix("run=") if folders else parts[-1]
+    def age(path: str) -> tuple[str, str]:
+        name = export_of(path).rpartition("/")[2]
+        stamps = _STAMP.findall(name)
+        return (stamps[-1] if stamps else "", name)
 
-    newest = max(map(run, paths), default=None)
-    return [p for p in paths if run(p) == newest]
+    newest = max(map(age, paths), default=None)
+    return [p for p in paths if age(p) == newest]
 
 
 def export_csv(df: DataFrame, folder: str, run_ts: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 from daybook.functions.values import month_of
 from daybook.operators.metrics import FIRST_DATES, first_dates_of, with_month
 from daybook.schemas import DAILY_METRICS, MERCHANTS, TRANSACTIONS
-from daybook.workspace import materialize
+from daybook.workspace import delete_path, materialize, move_path, path_exists
 
 
 _FIRST_DATES = T.StructType(
@@ -86,13 +88,40 @@ def read_first_dates(spark: SparkSession, path: str) -> DataFrame | None:
     return first_dates_of(notes)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def _beside(path: str, label: str) -> str:
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{name}-{label}-{uuid4().hex}"
+
+
+def _swap(spark: SparkSession, written: str, path: str) -> None:
+    """Put a completely written folder in the place of a table.
+
+    Two renames: there is never half a table at `path`. Where the store cannot
+    rename folders at once, a reader may meet the moment between them.
+    """
+    old = None
+    if path_exists(spark, path):
+        old = _beside(path, "old")
+        move_path(spark, path, old)
+    move_path(spark, written, path)
+    if old:
+        delete_path(spark, old)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a whole table.
 
-    The rows are computed and staged first, so that a failing input leaves the
-    old table as it was; only the copy overwrites it.
+    The new one is written beside the old one and takes its place when it is
+    complete, so a failure at any stage of the write leaves the old table.
     """
-    materialize(df, "staged").write.mode("overwrite").parquet(path)
+    written = _beside(path, "new")
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    try:
+        writer.parquet(written)
+    except Exception:
+        delete_path(df.sparkSession, written)
+        raise
+    _swap(df.sparkSession, written, path)
 
 
 def _laid_out(daily: DataFrame) -> DataFrame:
@@ -106,8 +135,8 @@ def _laid_out(daily: DataFrame) -> DataFrame:
 
 
 def write_daily(daily: DataFrame, path: str) -> None:
-    """Rebuild the daily table."""
-    _laid_out(daily).write.mode("overwrite").partitionBy("month").parquet(path)
+    """Rebuild the daily table; the old one stays until the new one is whole."""
+    replace_table(_laid_out(daily), path, ("month",))
 
 
 class EmptiedMonthError(RuntimeError):

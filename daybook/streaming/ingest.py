@@ -1,8 +1,9 @@
-"""Continuous form of the load: new files, each once, then the daily update."""
+"""Streaming form of the load: new files, each once; and the run around it."""
 
 from __future__ import annotations
 
 import json
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from daybook.sources.tables import (
     read_first_dates,
     read_transactions,
 )
+from daybook.workspace import path_exists, scratch
 
 
 def ingest_stream(
@@ -29,7 +31,7 @@ def ingest_stream(
     checkpoint: str,
     *,
     rejects: str | None = None,
-    daily: str | None = None,
+    reports: str | None = None,
     first_dates_table: str | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = 1000,
@@ -43,10 +45,11 @@ def ingest_stream(
     the memory of what is loaded, so no state grows with the stream, and a
     replayed batch finds its keys stored. `rejects` receives rejected rows and
     skipped files as JSON, one folder per batch, overwritten by a replay.
-    `daily` is updated after each batch; with `first_dates_table` the first
-    dates are noted there as rows are loaded, and the update does not scan all
-    stored transactions for them. Files of the last batch are archived when the
-    next one is planned.
+    `reports` receives, once for each batch, the counts of each file, its control
+    totals and the ignored rows. With `first_dates_table` the first dates are noted there as
+    rows are loaded, and a daily update does not scan all stored transactions
+    for them. Files of the last batch are archived when the next one is planned.
+    The daily table is not touched here, see `load_new_files`.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -57,9 +60,13 @@ def ingest_stream(
     )
     if archive_dir:
         files = files.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    names = files.load(in_dir).select("path", "modificationTime")
+    names = files.load(in_dir).select("path")
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            load_batch(batch, batch_id)
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
         # At most `files_per_batch` names.
         found = sorted(r.path for r in batch.select("path").collect())
         if not found:
@@ -74,24 +81,56 @@ def ingest_stream(
                 stored = first_dates(read_transactions(session, table))
                 add_first_dates(stored, first_dates_table)
             add_first_dates(first_dates(result.to_append), first_dates_table)
+        run_name = f"load={_stream_id(session, checkpoint)}-{batch_id}"
+        if reports:
+            for name, rows in (("files", result.report), ("totals", result.totals), ("ignored", result.ignored)):
+                path = f"{reports.rstrip('/')}/{name}/{run_name}"
+                # A replay finds its own rows stored; what the first try noted stands.
+                if not path_exists(session, f"{path}/_SUCCESS"):
+                    rows.write.mode("overwrite").json(path)
         append_transactions(result.to_append, table)
         if rejects:
             notes = session.createDataFrame(
                 [(s.path, s.reason) for s in skipped], "source_file string, reject_reason string"
             )
-            run = f"{rejects.rstrip('/')}/load={_stream_id(session, checkpoint)}-{batch_id}"
+            run = f"{rejects.rstrip('/')}/{run_name}"
             rows = result.rejected.unionByName(notes, allowMissingColumns=True)
             rows.write.mode("overwrite").json(run)
-        if daily:
-            run_ts = session.sql("SELECT substring(string(localtimestamp()), 1, 19)").first()[0]
-            first = read_first_dates(session, first_dates_table) if first_dates_table else None
-            update_daily(session, read_transactions(session, table), daily, run_ts, first=first)
 
     writer = names.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer
     return writer.start()
 
 
+def load_new_files(
+    spark: SparkSession,
+    in_dir: str,
+    table: str,
+    archive_dir: str | None,
+    checkpoint: str,
+    daily: str,
+    *,
+    run_ts: str | None = None,
+    as_of: date | None = None,
+    lookback_days: int = 0,
+    first_dates_table: str | None = None,
+    **options,
+) -> DataFrame:
+    """One run: load all new files, then update the daily table once.
+
+    The watermark is that of the table before the run, however many batches the
+    files take, and moves only with the update: a run that breaks off in between
+    is made up for by the next one. Returns the summary of the updated days.
+    """
+    query = ingest_stream(
+        spark, in_dir, table, archive_dir, checkpoint, first_dates_table=first_dates_table, once=True, **options
+    )
+    query.awaitTermination()
+    run_ts = run_ts or spark.sql("SELECT substring(string(localtimestamp()), 1, 19)").first()[0]
+    first = read_first_dates(spark, first_dates_table) if first_dates_table else None
+    return update_daily(spark, read_transactions(spark, table), daily, run_ts, as_of, lookback_days, first)
+
+
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The stream's id, which a restart keeps and a new checkpoint changes."""
     text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").agg(F.max("value")).first()[0]

@@ -10,6 +10,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,7 @@ from daybook.session import wide_expressions
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def workspace(spark: SparkSession) -> str:
@@ -44,7 +48,51 @@ def workspace(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the workspace that no earlier step has used."""
-    return f"{workspace(spark)}/{label}-{uuid4().hex}"
+    path = f"{workspace(spark)}/{label}-{uuid4().hex}"
+    for paths in getattr(_scopes, "open", [])[-1:]:
+        paths.append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _file_system(spark, path)
+    return store.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    store, target = _file_system(spark, path)
+    store.delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the folder above the target is made."""
+    store, old = _file_system(spark, source)
+    new = _file_system(spark, target)[1]
+    store.mkdirs(new.getParent())
+    if not store.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediate tables that were made inside.
+
+    For steps that write their result: nothing returned from inside may still
+    read such a table.
+    """
+    scopes = _scopes.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            delete_path(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

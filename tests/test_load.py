@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import daybook as db
 from daybook.schemas import MERCHANTS, TRANSACTIONS
 from daybook.sources.extract import FAILURE
-from daybook.sources.files import read_csv_files
+from daybook.functions.values import has_fraction, to_whole
+from daybook.sources.files import list_files, read_csv_files
 from daybook.workspace import fresh_path, materialize
 
 HEADER = "transaction_uuid,mid,amount,refunded_amount,transaction_type,transaction_date"
@@ -187,17 +188,21 @@ def test_columns_are_matched_by_name_per_file(spark, tmp_path):
     assert (rows["k1"].amount, rows["k2"].amount, rows["k2"].mid) == ("100", "200", None)
 
 
-def test_headers_of_very_many_files_come_from_one_pass(spark, tmp_path, monkeypatch):
-    from daybook.sources import files
-
-    land(tmp_path, "a.csv", HEADER, "k1,1,100,0,charge,2024-01-01 00:00:00")
-    land(tmp_path, "b.csv", '"amount",transaction_uuid,refunded_amount', "200,k2,0")
-    paths = files.list_files(spark, str(tmp_path))
-    one_by_one = files.read_headers(spark, paths)
-    monkeypatch.setattr(files, "HEADER_JOBS", 1)
-    at_once = files.read_headers(spark, paths)
-    assert sorted(at_once.values()) == sorted(one_by_one.values())
-    assert sorted(r.amount for r in db.read_transactions_csv(spark, str(tmp_path)).collect()) == ["100", "200"]
+@pytest.mark.parametrize("copies", [1, 12])
+def test_odd_headers_are_read_alike_for_few_and_many_files(spark, tmp_path, copies):
+    data = "k1,1,100,0,charge,2024-01-01 00:00:00"
+    for n in range(copies):
+        land(tmp_path, f"{n}-blank.csv", "", HEADER, data)
+        land(tmp_path, f"{n} name.csv", HEADER, data)
+        land(tmp_path, f"{n}-twice.csv", HEADER + ",x,x", data + ",a,b")
+        land(tmp_path, f"{n}-amounts.csv", "transaction_uuid,amount,amount,refunded_amount", "k1,1,2,3")
+        (tmp_path / f"{n}-empty.csv").write_text("")
+    paths = list_files(spark, str(tmp_path))
+    # A file without a byte has nothing to load and is not listed.
+    assert len(paths) == 4 * copies
+    rows, skipped = read_csv_files(spark, paths, TRANSACTIONS, ("transaction_uuid", "amount", "refunded_amount"))
+    assert sorted({r.amount for r in rows.collect()}) == ["100"] and rows.count() == 3 * copies
+    assert sorted(s.path.rsplit("-", 1)[1] for s in skipped) == ["amounts.csv"] * copies
 
 
 def test_file_without_required_column_is_skipped(spark, tmp_path):
@@ -301,6 +306,54 @@ def test_bad_merchant_file_leaves_the_table(spark, tmp_path, lines):
     assert [r.MerchantAccountDatabaseID for r in db.read_merchants(spark, table).collect()] == [7]
 
 
+def test_empty_folder_leaves_the_merchants(spark, tmp_path):
+    table, folder = str(tmp_path / "table"), str(tmp_path / "in")
+    land(tmp_path / "in", "M_20240101_000000.csv", MERCHANT_HEADER, "7,kept,")
+    assert db.load_merchants(spark, folder, table, archive_dir=str(tmp_path / "done")) == 1
+    assert [p.name for p in (tmp_path / "done").iterdir() if p.suffix == ".csv"] == ["M_20240101_000000.csv"]
+    assert db.load_merchants(spark, folder, table) == 0
+    assert [r.MerchantAccountDatabaseID for r in db.read_merchants(spark, table).collect()] == [7]
+
+
+def test_newest_is_told_by_stamp_and_only_whole_runs_count(spark, tmp_path):
+    table, folder = str(tmp_path / "table"), str(tmp_path / "in")
+    ids = lambda: [r.MerchantAccountDatabaseID for r in db.read_merchants(spark, table).collect()]
+    land(tmp_path / "in", "Zzz_20240101_000000.csv", MERCHANT_HEADER, "1,old,")
+    land(tmp_path / "in" / "run=20250101_000000", "part-0.csv", MERCHANT_HEADER, "2,new,")
+    db.load_merchants(spark, folder, table)
+    assert ids() == [1]
+    (tmp_path / "in" / "run=20250101_000000" / "_SUCCESS").write_text("")
+    db.load_merchants(spark, folder, table)
+    assert ids() == [2]
+
+
+def test_failed_write_leaves_the_whole_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    db.replace_table(spark.range(5), path)
+    broken = spark.range(100).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        db.replace_table(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["table"]
+    db.replace_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_upsert_keeps_the_newest_version(spark):
+    schema = "k string, v long, x string"
+    stored = spark.createDataFrame([("a", 5, "old"), ("b", 5, "old"), ("c", None, "old")], schema)
+    new = spark.createDataFrame([("a", 6, "new"), ("b", 5, "new"), ("c", 1, "new"), ("d", 1, "p"), ("d", 1, "q"), (None, 9, "z")], schema)
+    out = {r.k: (r.v, r.x) for r in db.upsert_latest(new, stored, "k", "v").collect()}
+    assert out == {"a": (6, "new"), "b": (5, "old"), "c": (1, "new"), "d": (1, "q")}
+
+
+@pytest.mark.parametrize("text, whole", [("1.0000001", False), ("1e-7", False), ("1.000", True), ("12e1", True), ("1.5e1", True), (".", None), ("7", True)])
+def test_fractions_of_any_size_are_seen(spark, text, whole):
+    row = spark.createDataFrame([(text,)], "c string").select(has_fraction(F.col("c")).alias("f"), to_whole(F.col("c")).alias("w")).first()
+    assert row.f == (whole is False)
+    assert (row.w is not None) == (whole is True)
+
+
 def test_merchant_filters(spark):
     names = ["test", "TEST co", "Contest", "Team Co", "Co Team", "co team", None, "Plain"]
     columns = "address_line1 string, address_city string, address_state string, address_postal_code string"

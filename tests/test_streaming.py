@@ -1,10 +1,11 @@
 """The file stream against the batch load."""
 
+import os
 from datetime import date
 from pathlib import Path
 
 import daybook as db
-from daybook.workspace import fresh_path
+from daybook.workspace import fresh_path, workspace
 
 HEADER = "transaction_uuid,merchant_account_id,merchant_name,mid,amount,refunded_amount,status,transaction_type,transaction_date"
 
@@ -19,10 +20,10 @@ def land(folder: Path, name: str, *lines: str, header: str = HEADER) -> None:
 
 
 def run(spark, tmp_path, **options):
-    query = db.ingest_stream(
-        spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "archive"),
-        str(tmp_path / "progress"), **options,
-    )
+    places = [str(tmp_path / n) for n in ("in", "table", "archive", "progress")]
+    if "daily" in options:
+        return db.load_new_files(spark, *places, options.pop("daily"), **options)
+    query = db.ingest_stream(spark, *places, **options)
     query.awaitTermination()
     return query
 
@@ -104,3 +105,46 @@ def test_noted_first_dates_give_the_same_daily_table(spark, tmp_path):
     ]
     assert tables[0] == tables[1] and len(tables[0]) == 3
     assert str(tables[0][-1][2]) == "2024-01-03 10:00:00"
+
+
+def test_daily_table_does_not_depend_on_batches(spark, tmp_path):
+    tables = {}
+    for files in (1, 1000):
+        home = tmp_path / str(files)
+        land(home / "in", "a.csv", line("k1", "2024-01-05"))
+        os.utime(home / "in" / "a.csv", (1, 1))
+        land(home / "in", "b.csv", line("k2", "2024-01-03", "2000"))
+        run(spark, home, daily=str(home / "daily"), files_per_batch=files)
+        rows = db.read_daily(spark, str(home / "daily")).orderBy("day").collect()
+        tables[files] = [(r.day.day, r.amount_sum, r.mtd_total) for r in rows]
+    assert tables[1] == tables[1000] and [r[0] for r in tables[1]] == [3, 5]
+
+
+def test_late_days_come_in_with_lookback(spark, tmp_path):
+    daily = str(tmp_path / "daily")
+    land(tmp_path / "in", "a.csv", line("k1", "2024-01-05"))
+    run(spark, tmp_path, daily=daily)
+    land(tmp_path / "in", "b.csv", line("k2", "2024-01-04"), line("k3", "2024-01-09"))
+    run(spark, tmp_path, daily=daily, as_of=date(2024, 1, 8), lookback_days=2)
+    assert [r.day.day for r in db.read_daily(spark, daily).orderBy("day").collect()] == [4, 5]
+
+
+def test_reports_stand_after_a_replay(spark, tmp_path):
+    land(tmp_path / "in", "a.csv", line("k1", "2024-01-01"), line("k1", "2024-01-02"), line("k2", "2024-01-01", "1.5"))
+    options = {"reports": str(tmp_path / "reports")}
+    run(spark, tmp_path, **options)
+    for commit in (tmp_path / "progress" / "commits").glob("*0*"):
+        commit.unlink()
+    run(spark, tmp_path, **options)
+    (row,) = spark.read.json(str(tmp_path / "reports" / "files")).collect()
+    assert (row.rows_read, row.accepted_rows, row.repeated_in_file, row.rejected_rows) == (3, 1, 1, 1)
+    (totals,) = spark.read.json(str(tmp_path / "reports" / "totals")).collect()
+    assert totals.amount_count == 2 and float(totals.amount_sum) == 10.015
+
+
+def test_batches_leave_no_scratch_tables(spark, tmp_path):
+    before = set(os.listdir(workspace(spark))) if os.path.isdir(workspace(spark)) else set()
+    for n in range(3):
+        land(tmp_path / "in", f"f{n}.csv", line(f"k{n}", f"2024-01-0{n + 1}"))
+    run(spark, tmp_path, daily=str(tmp_path / "daily"), files_per_batch=1)
+    assert set(os.listdir(workspace(spark))) == before

@@ -202,10 +202,14 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merchants_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merchant listing exported as CSV and loaded from there."""
+    """The merchant listing exported as CSV and loaded from there.
+
+    The second load finds the folder emptied and leaves the table.
+    """
     folder, path = fresh_path(spark, "landing"), fresh_path(spark, "merchants-table")
     export_csv(db.merchant_export(*fx.merchant_sources(spark, sf_dir)), folder, RUN)
-    db.load_merchants(spark, folder, path)
+    for _ in range(2):
+        db.load_merchants(spark, folder, path, archive_dir=f"{folder}-archive")
     return db.read_merchants(spark, path)
 
 
@@ -326,6 +330,46 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.read_transactions(spark, table).select(*FILLED)
 
 
+def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over several batches, newest days first, and its one daily update."""
+    tx = db.dedup_first(fx.transactions(spark, sf_dir).select(*FILLED), [TRANSACTION_KEY], fx.ROW_ORDER)
+    tx = materialize(tx, "first-rows")
+    folder, day = fresh_path(spark, "landing"), F.col("transaction_date")
+    cuts = [date(1900, 1, 1), STORED_BEFORE, CUT, date(2100, 1, 1)]
+    for n, (start, end) in enumerate(reversed(list(zip(cuts, cuts[1:])))):
+        rows = tx.where((day >= F.lit(start)) & (day < F.lit(end)))
+        export_csv(rows.repartitionByRange(2, TRANSACTION_KEY), folder, f"2001-06-01 06:00:0{n}")
+    home = fresh_path(spark, "stream")
+    db.load_new_files(
+        spark, folder, f"{home}/table", f"{home}/archive", f"{home}/progress", f"{home}/daily",
+        run_ts=RUN, files_per_batch=2, first_dates_table=f"{home}/first",
+    )
+    return db.read_daily(spark, f"{home}/daily").select(*REFRESHED)
+
+
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream notes about each file it loads."""
+    folder, home = _land_in_order(spark, sf_dir), fresh_path(spark, "stream")
+    db.ingest_stream(
+        spark, folder, f"{home}/table", None, f"{home}/progress", reports=f"{home}/reports"
+    ).awaitTermination()
+    noted = spark.read.json(f"{home}/reports/files")
+    counts = ("rows_read", "accepted_rows", "duplicates_rows", "repeated_in_file", "rejected_rows")
+    return noted.agg(*(F.sum(c).alias(c) for c in counts))
+
+
+def load_control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(spark, sf_dir).totals
+
+
+def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = fx.transactions(spark, sf_dir).select(*FILLED)
+    stored = db.dedup_first(tx, [TRANSACTION_KEY], fx.ROW_ORDER).where(
+        F.col("transaction_date") < F.lit(STORED_BEFORE)
+    )
+    return db.upsert_latest(tx, stored, TRANSACTION_KEY, "updated_at")
+
+
 def _ids(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     formatted = db.format_ids(F.col("id_text"), **options).alias("formatted")
     return fx.id_lists(spark, sf_dir).select("list_id", formatted)
@@ -372,7 +416,8 @@ QUERIES = {
         clean_transactions, clean_transactions_compat, rejects, money_problems, tidy_numbers,
         column_profile, control_totals, dedup_first, append_ignore, ignored_keys,
         load_transactions, load_report, constraint_check, extract_window, extract_first_run,
-        csv_round_trip, stream_ingest, id_list_quoted, id_list_bracketed, id_list_plain,
+        csv_round_trip, stream_ingest, stream_daily, stream_report, load_control_totals,
+        upsert_transactions, id_list_quoted, id_list_bracketed, id_list_plain,
         id_strip, id_pad, id_strip_and_pad, id_tokens,
     )
 }
