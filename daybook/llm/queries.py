@@ -18,8 +18,17 @@ from daybook.llm.sharding import shard
 from daybook.llm.simhash import as_hex, find_near_duplicates
 from daybook.llm.stream_dedup import deduplicate
 from daybook.llm.token_files import tokenize
+from daybook.llm.url_filter import ALLOW, BLOCK, Rule, filter_urls
+from daybook.llm.url_filter_sql import filter_urls_sql
 
 SHARDS = 40
+URL_RULES = (
+    Rule(ALLOW, "com", "/"),
+    Rule(BLOCK, "example.com", "/en/"),
+    Rule(ALLOW, "www.example.com", "/en/"),
+    Rule(BLOCK, "net", "/es/"),
+    Rule(BLOCK, "net", "/fr/"),
+)
 
 
 def vocabulary_path(name: str) -> str:
@@ -108,6 +117,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "branch")
+
+
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_sharding": op2_sharding,
@@ -119,6 +133,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op12_url_filter": op12_url_filter,
 }
 
 # White space and separators as the contracts name them, for the SQL engine.
@@ -166,4 +181,5 @@ ORACLES: dict[str, str] = {
                coalesce(hit_words.n, 0) > 0 AS contaminated
         FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
+    "op12_url_filter": filter_urls_sql(URL_RULES),
 }
