@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.conversations import damage, repair
+from daybook.llm.conversations_sql import REPAIR_SQL
 from daybook.llm.decontaminate import find_contamination
 from daybook.llm.digests import base_digest, count_of, listed
 from daybook.llm.grading import grade, grades_of
@@ -122,6 +124,11 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "branch")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = damage(table(spark, sf_dir, "conversations"))
+    return repair(damaged, present=F.col("present"))
+
+
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_sharding": op2_sharding,
@@ -134,6 +141,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
     "op12_url_filter": op12_url_filter,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # White space and separators as the contracts name them, for the SQL engine.
@@ -182,4 +190,5 @@ ORACLES: dict[str, str] = {
         FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
     "op12_url_filter": filter_urls_sql(URL_RULES),
+    "op13_conversation_repair": REPAIR_SQL,
 }
