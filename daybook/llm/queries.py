@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.collocations import mine_collocations
 from daybook.llm.conversations import damage, repair
 from daybook.llm.conversations_sql import REPAIR_SQL
 from daybook.llm.decontaminate import find_contamination
@@ -119,6 +120,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"), least=10, longest=3, share=50, top=2000)
+
+
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "branch")
@@ -140,6 +145,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_collocations": op11_collocations,
     "op12_url_filter": op12_url_filter,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -189,6 +195,38 @@ ORACLES: dict[str, str] = {
                coalesce(hit_words.n, 0) > 0 AS contaminated
         FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
+    "op11_collocations": f"""
+        WITH pieces AS (
+            SELECT row_number() OVER () AS piece, lang, p
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                      translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS p
+                  FROM documents)
+        ), words AS (
+            SELECT lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces
+        ), counts AS MATERIALIZED (
+            SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                  FROM words, (VALUES (1), (2), (3)) sizes(m) WHERE len(w) >= m)
+            GROUP BY ALL
+        ), cuts AS (
+            SELECT lang, m, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+            FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM counts WHERE m > 1 AND f >= 10)
+        ), scored AS (
+            SELECT c.lang, c.m, c.phrase, a, x.f AS l, y.f AS r,
+                   (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = first
+            JOIN counts y ON y.lang = c.lang AND y.phrase = rest
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+        ), longer AS (
+            SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(f) AS most
+            FROM (SELECT lang, string_split(phrase, ' ') AS w, f, unnest([1, 2]) AS i FROM counts WHERE m = 3 AND f >= 10)
+            GROUP BY ALL
+        ), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM scored JOIN totals USING (lang) LEFT JOIN longer USING (lang, phrase)
+        WHERE NOT coalesce(m = 2 AND 100 * most >= 50 * a, false)
+        QUALIFY rank <= 2000
+    """,
     "op12_url_filter": filter_urls_sql(URL_RULES),
     "op13_conversation_repair": REPAIR_SQL,
 }
