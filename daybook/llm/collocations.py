@@ -41,11 +41,11 @@ from daybook.workspace import materialize
 FILTER_BITS = 27
 MASS = 1_000_000
 # Text of one hash partition, and of one step of a task, in bytes.
-_DEALT, _STEP = 16 << 20, 8 << 20
+_DEALT, _STEP = 4 << 20, 4 << 20
 # Counted n-grams a task holds before it hands them on; rows of a batch.
-_HELD, _ROWS = 4_000_000, 100_000
+_HELD, _ROWS = 2_000_000, 100_000
 _SALTS = 32
-_MOST_BUCKETS = 1 << 16
+_MOST_BUCKETS = 1 << 18
 
 _WORD, _GAP, _BREAK = range(3)
 _KIND = np.full(256, _WORD, dtype=np.uint8)
