@@ -3,10 +3,12 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
+from tokenizers import AddedToken, Tokenizer
 
 from daybook.llm import elias_fano
 from daybook.llm.queries import vocabulary_path
-from daybook.llm.token_files import Encoder, Segment, pack, tokenize, write_tokens
+from daybook.llm.token_files import Encoder, Segment, pack, read_documents, tokenize, write_tokens
 
 PATH = vocabulary_path("byte_bpe_50k.json")
 
@@ -16,25 +18,49 @@ def coder():
     return Encoder(PATH)
 
 
-def plain(coder, text):
-    return coder.tokenizer.encode(text, add_special_tokens=False).ids
+@pytest.fixture(scope="module")
+def library():
+    """The tokenizer as its library gives it, nothing set."""
+    return Tokenizer.from_file(PATH)
+
+
+def plain(library, text):
+    return library.encode(text, add_special_tokens=False).ids
+
 
+PARTS = [
+    "a", "Word", "don't", "é", "à", "12", "..", "\n", " ", "  ", "\t", "\x1c", "\x85", "\xa0", "\u2003", "　", "\u2028", "\r\n", "'s",
+    "<|endoftext|>", "<|endof", "漢字", "€", "𝄞", "\u2060", "x" * 60,
+]
 
-def test_pieces_give_the_ids_of_the_whole_text(coder):
+
+@pytest.mark.parametrize("together", [40, 8 << 20])
+def test_pieces_give_the_ids_of_the_whole_text(coder, library, monkeypatch, together):
+    monkeypatch.setattr("daybook.llm.token_files._TOGETHER", together)
     rng = random.Random(11)
-    parts = ["a", "Word", "don't", "é", "12", "..", "\n", " ", "  ", "\t", "\x1c", " ", "　", "\r\n", "'s", "<|endoftext|>", "漢字", "x" * 60]
-    texts = ["", " ", "\n", "a\nb", " a", "a ", "a\n b", "a \nb", "one two\nthree four."]
-    texts += ["".join(rng.choice(parts + [" "] * 6) for _ in range(rng.randrange(30))) for _ in range(1500)]
-    for text in texts:
-        found = np.frombuffer(coder.encode([text])[0], dtype=coder.kind).tolist()
-        assert found == plain(coder, text), repr(text)
+    texts = ["", " ", "\n", "a\nb", " a", "a ", "a\n b", "a \nb", "one two\nthree four.", "<|endoftext|>", "x <|endoftext|> y"]
+    texts += ["".join(rng.choice(PARTS + [" "] * 8 + ["\n"] * 2) for _ in range(rng.randrange(30))) for _ in range(10_000)]
+    for a in range(0, len(texts), 100):
+        for text, found in zip(texts[a : a + 100], coder.encode(texts[a : a + 100])):
+            assert found.tolist() == plain(library, text), repr(text)
+
+
+def test_names_that_reach_over_blanks(tmp_path):
+    odd = Tokenizer.from_file(PATH)
+    odd.add_special_tokens(["<two words>", AddedToken("<left>", lstrip=True), AddedToken("<word>", single_word=True)])
+    odd.save(str(tmp_path / "odd.json"))
+    coder = Encoder(str(tmp_path / "odd.json"))
+    rng = random.Random(12)
+    parts = ["a", " ", " ", "\n", "<two words>", "<left>", "<word>", "b"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    assert [f.tolist() for f in coder.encode(texts)] == [plain(odd, t) for t in texts]
 
 
-def test_cache_is_bounded(coder, monkeypatch):
+def test_cache_is_bounded(library, monkeypatch):
     monkeypatch.setattr("daybook.llm.token_files._CACHED_PIECES", 5)
     small = Encoder(PATH)
     for text in ("a b c d e f g h", "i j k l", "a b\nc d e f g"):
-        assert np.frombuffer(small.encode([text])[0], dtype=small.kind).tolist() == plain(coder, text)
+        assert small.encode([text])[0].tolist() == plain(library, text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 3000])
@@ -69,10 +95,11 @@ def test_segment_access():
         Segment(b"x" * 64)
 
 
-def test_files_hold_all_documents_in_order(spark, coder, tmp_path):
+def test_files_hold_all_documents_in_order(spark, library, tmp_path):
     rng = random.Random(2)
     rows = [(rng.randrange(-500, 500) * 1_000_003, "w" * rng.randrange(4) + " tok en" * rng.randrange(30), "k") for _ in range(300)]
     rows += [(None, "no id", "k"), (5, None, "k"), (6, "", "k"), (7, "same", "k"), (7, "same", "k"), (8, "long " * 5000, "k")]
+    rows += [(9, "before <|endoftext|> after<|endoftext|>", "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(5)
     out = tokenize(docs, PATH, str(tmp_path / "files"), segment_ids=700).collect()
     found = sorted(out, key=lambda r: r.start)
@@ -81,15 +108,19 @@ def test_files_hold_all_documents_in_order(spark, coder, tmp_path):
     for r in found:
         assert r.start == at
         at += r.n_tokens
-    ids = lambda t: [*plain(coder, t or ""), 2]
+    ids = lambda t: [*plain(library, t or ""), 2]
     sums = lambda t: (len(ids(t)), zlib.crc32(np.array(ids(t), dtype="<u4").tobytes()))
     assert sorted((r.doc_id or 0.5, r.n_tokens, r.ids_crc32) for r in out) == sorted((i or 0.5, *sums(t)) for i, t, _ in rows)
 
 
-def test_writing_again_replaces_and_empty_tables(spark, tmp_path):
+def test_writing_again_and_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string").coalesce(1)
     folder = str(tmp_path / "files")
-    for _ in range(2):
-        assert write_tokens(docs, folder, PATH).count() == 1
-    assert len([p for p in (tmp_path / "files").iterdir() if p.name.endswith(".eft")]) == 1
+    write_tokens(docs, folder, PATH)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        write_tokens(docs, folder, PATH)
+    write_tokens(docs, folder, PATH, mode="overwrite")
+    assert read_documents(spark, folder).count() == 2
     assert tokenize(docs.limit(0), PATH).count() == 0
+    with pytest.raises(TypeError, match="whole numbers"):
+        write_tokens(docs.selectExpr("cast(doc_id as string) doc_id", "text"), str(tmp_path / "text"), PATH)
