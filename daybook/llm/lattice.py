@@ -16,13 +16,19 @@ of spelling. The scores of the pieces are expected counts over all
 segmentations of all training words, each word once, as new words resemble rare
 ones; a few forward-backward passes in Spark refine them.
 
-Scoring. Every distinct word is scored once, in Spark. Words as frequent as a
-bound on their number allows are joined by broadcast, all others by a shuffle;
-the result is the same.
+Scoring. Every distinct word is scored once, in Spark. Texts are taken apart
+twice: to count their words, and to look up the words that are as frequent as a
+bound on their number allows, which every task gets. Only the other words of a
+text are shuffled, each with its number, and joined with their scores; the
+result is the same wherever the bound lies.
+
+Beside the model's score stands that of the lattice alone, which spells every
+word by pieces.
 
 Null text counts as empty: one end token. A null id counts as the empty string
-when documents are held out. Repeated rows give one result row each. Without
-training documents every word is spelled by evenly weighted pieces.
+when documents are held out. Repeated rows give one result row each. Texts of
+any length are read in parts. Without training documents every word is spelled
+by evenly weighted pieces.
 """
 
 from __future__ import annotations
@@ -33,11 +39,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.rows import SPACE, ascii_lower, id_and_text
+from daybook.llm.rows import id_and_text
+from daybook.llm.words import byte_kinds, words_in
 from daybook.workspace import materialize
 
 # No word contains a blank, so this is a token of its own.
@@ -46,10 +55,13 @@ END = " "
 MARK = "▁"
 SMOOTHING = 0.1
 MAX_PIECES = 200_000
-BROADCAST_WORDS = 100_000
+BROADCAST_WORDS = 300_000
 BROADCAST_WORD_BYTES = 64
 # Words up to this length are scored many at a time, longer ones one by one.
 LONGEST_TOGETHER = 32
+# Text taken apart at a time, in bytes; the six white characters part words.
+_STEP = 4 << 20
+_KINDS = byte_kinds(b" \t\n\x0b\x0c\r")
 _TINY = -1e300
 _CHARACTER_BITS = 21
 
@@ -278,12 +290,6 @@ def expected_many(words: list[str], pieces: Pieces, trie: Trie, into: dict[str,
             expected(word, pieces, widest, into)
 
 
-def words_of(text: Column) -> Column:
-    """The tokens of a text: its words and one end."""
-    words = F.array_remove(F.split(ascii_lower(text), SPACE), "")
-    return F.concat(words, F.array(F.lit(END)))
-
-
 def _train_pieces(words: DataFrame, pieces: list[str], passes: int) -> Pieces:
     """Scores from the distinct training words; one Spark job for each pass.
 
@@ -311,9 +317,10 @@ def _train_pieces(words: DataFrame, pieces: list[str], passes: int) -> Pieces:
 
 
 def score_words(counts: DataFrame, vocabulary: list[str], passes: int) -> tuple[DataFrame, int]:
-    """`token`, `n_all`, `c`, `base`, `lattice` (log10) per word; training tokens.
+    """`token`, `n_all`, `c`, `base`, `score`, `lattice` (log10) per word; training tokens.
 
-    `counts` has `token`, `c` (count in training documents), `n_all`.
+    `counts` has `token`, `c` (count in training documents), `n_all`. The
+    lattice alone has no other way to the end of a text than the model.
     """
     seen = F.col("c") > 0
     n, v, n1, n2 = counts.agg(
@@ -330,16 +337,19 @@ def score_words(counts: DataFrame, vocabulary: list[str], passes: int) -> tuple[
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, trie = held.value
         for batch in batches:
-            out = []
+            scores, alone = [], []
             tokens = batch.column("token").to_pylist()
             spellings = spelled_many(tokens, model, trie).tolist()
             for token, c, spelling in zip(tokens, batch.column("c").to_pylist(), spellings):
                 whole = math.log((c - discount) / n) if c else _TINY
                 by_pieces = _TINY if token == END else spelling + log_spelling
-                out.append(max(_add(whole, by_pieces), -1e4 * (len(token) + 1)) / math.log(10))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=schema.names)
+                least = -1e4 * (len(token) + 1)
+                scores.append(max(_add(whole, by_pieces), least) / math.log(10))
+                alone.append(max(whole if token == END else spelling, least) / math.log(10))
+            made = [pa.array(scores, pa.float64()), pa.array(alone, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
 
-    schema = T.StructType([*counts.schema, T.StructField("lattice", T.DoubleType())])
+    schema = T.StructType([*counts.schema, T.StructField("score", T.DoubleType()), T.StructField("lattice", T.DoubleType())])
     base = F.log10((F.col("c") + SMOOTHING) / F.lit(n + SMOOTHING * (v + 1)))
     return counts.mapInArrow(score, schema).withColumn("base", base), n
 
@@ -362,6 +372,60 @@ def frequent(scored: DataFrame, at_most: int = BROADCAST_WORDS) -> DataFrame:
     return scored.where(short & (level >= F.lit(lowest).cast("long"))) if lowest is not None else scored.limit(0)
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`token`, `c`, `n_all` of some texts at a time, and of their ends."""
+    schema = pa.schema([("token", pa.string()), ("c", pa.int64()), ("n_all", pa.int64())])
+    for batch in batches:
+        trained = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        yield pa.RecordBatch.from_pydict({"token": [END], "c": [int(trained.sum())], "n_all": [len(trained)]}, schema)
+        for found, rows in words_in(batch, _STEP, _KINDS):
+            size = len(found.words)
+            use = trained[rows[found.text]]
+            counts = [np.bincount(code, minlength=size) for code in (found.code[use], found.code)]
+            yield pa.RecordBatch.from_arrays([found.words.cast(pa.string()), *map(pa.array, counts)], schema=schema)
+
+
+_SUMS = ("base", "score", "lattice")
+
+
+def _look_up(common, names: list[str]):
+    """Sums over the common words of each text, and its other words with their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = common.value
+        words = table.column("token").combine_chunks().cast(pa.binary())
+        values = {c: np.append(table.column(c).to_numpy(), 0.0) for c in _SUMS}
+        known = np.append(table.column("c").to_numpy() > 0, False).astype(float)
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for found, rows in words_in(batch, _STEP, _KINDS):
+                n, size = len(rows), max(1, len(found.words))
+                at = pc.index_in(found.words, value_set=words).fill_null(len(words)).to_numpy(zero_copy_only=False)
+                place = at[found.code]
+                add = lambda v: np.bincount(found.text, v[place], minlength=n)  # noqa: B023, E731
+                rare = place == len(words)
+                pairs, times = np.unique(found.text[rare] * size + found.code[rare], return_counts=True)
+                ends = np.cumsum(np.bincount(pairs // size, minlength=n))
+                others = pa.StructArray.from_arrays(
+                    [found.words.take(pa.array(pairs % size)).cast(pa.string()), pa.array(times.astype(np.int64))],
+                    ["token", "times"],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row + rows),
+                        *(batch.column(c).take(pa.array(rows)) for c in ("doc_id", "held_out")),
+                        pa.array(np.bincount(found.text[~rare], minlength=n).astype(np.int64)),
+                        pa.array(add(known).astype(np.int64)),
+                        *(pa.array(add(values[c])) for c in _SUMS),
+                        pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), others),
+                    ],
+                    names=names,
+                )
+            row += batch.num_rows
+
+    return run
+
+
 def score_documents(
     docs: DataFrame,
     vocabulary: list[str],
@@ -375,58 +439,62 @@ def score_documents(
 
     Documents whose crc32 of the id as text is divisible by `hold_out` are held
     out of training. Returns `doc_id`, `held_out`, `n_tokens`, `n_known`,
-    `train_tokens`, `base_score`, `score` (log10 probabilities).
+    `train_tokens`, `base_score`, `score`, `lattice_score` (log10 probabilities).
     """
     rows = id_and_text(docs, id_col, text_col)
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % hold_out == 0
-    # Rows are told apart by id and text; the end token counts repeated ones.
-    # The digest is taken once for each row, before its words are dealt out.
-    keyed = rows.select(
-        "doc_id", F.unhex(F.md5("text")).alias("md5"), held_out.alias("held_out"), words_of(F.col("text")).alias("words")
-    )
-    tokens = keyed.select("doc_id", "md5", "held_out", F.explode("words").alias("token"))
-    counts = materialize(
-        tokens.groupBy("token").agg(F.count_if(~F.col("held_out")).alias("c"), F.count("*").alias("n_all")), "words"
-    )
+    rows = rows.withColumn("held_out", held_out)
+    counted = rows.select("held_out", "text").mapInArrow(_count_words, "token string, c long, n_all long")
+    counts = materialize(counted.groupBy("token").agg(F.sum("c").alias("c"), F.sum("n_all").alias("n_all")), "words")
     scored, n = score_words(counts, vocabulary, passes)
-    scored = materialize(scored, "scored-words").select("token", "n_all", "c", "base", "lattice")
-    common = materialize(frequent(scored, broadcast_words), "common-words")
-    rare = scored.join(F.broadcast(common.select("token")), "token", "left_anti")
-    keys = ("doc_id", "md5", "held_out")
-    value = lambda t: t.select("token", "c", "base", "lattice")
-    sums = (
-        F.count("*").alias("n_tokens"),
-        F.count_if(F.col("c") > 0).alias("n_known"),
-        F.sum("base").alias("base_score"),
-        F.sum("lattice").alias("score"),
-        F.count_if(F.col("token") == END).alias("rows"),
-    )
-    # `common` has at most `broadcast_words` rows of bounded length.
-    near = tokens.join(F.broadcast(value(common)), "token").groupBy(*keys).agg(*sums)
+    scored = materialize(scored, "scored-words").select("token", "n_all", "c", *_SUMS)
+    words = scored.where(F.col("token") != END)
+    # At most `broadcast_words` rows of bounded length.
+    common = frequent(words, broadcast_words).select("token", "c", *_SUMS).toArrow()
+    end = scored.where(F.col("token") == END).first()
+    if end is None:
+        end = {"c": 0, **dict.fromkeys(_SUMS, 0.0)}
+
+    others = T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("times", T.LongType())]))
+    schema = T.StructType(
+        [
+            T.StructField("row_id", T.LongType()), rows.schema["doc_id"], T.StructField("held_out", T.BooleanType()),
+            T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+            *(T.StructField(c, T.DoubleType()) for c in _SUMS), T.StructField("others", others),
+        ]
+    )
+    look_up = _look_up(rows.sparkSession.sparkContext.broadcast(common), schema.names)
+    # Row numbers become fixed when the rows are written.
+    near = materialize(rows.select("doc_id", "held_out", "text").mapInArrow(look_up, schema), "looked-up")
+    totals = ("n_tokens", "n_known", *_SUMS)
     far = (
-        tokens.join(F.broadcast(common.select("token")), "token", "left_anti")
-        .groupBy(*keys, "token").agg(F.count("*").alias("times"))
-        .join(value(rare), "token")
-        .groupBy(*keys).agg(
+        near.select("row_id", F.explode("others").alias("o"))
+        .select("row_id", "o.token", "o.times")
+        .join(words, "token")
+        .groupBy("row_id")
+        .agg(
             F.sum("times").alias("n_tokens"),
             F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") * F.col("times")).alias("base_score"),
-            F.sum(F.col("lattice") * F.col("times")).alias("score"),
-            F.sum(F.when(F.col("token") == END, F.col("times")).otherwise(0)).alias("rows"),
+            *(F.sum(F.col(c) * F.col("times")).alias(c) for c in _SUMS),
         )
+        .select("row_id", F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), *totals)
     )
-    both = near.unionByName(far).groupBy(*keys).agg(
-        *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score", "rows"))
-    )
-    copies = F.sequence(F.lit(1).cast("long"), F.col("rows"))
-    each = lambda c, kind: (F.col(c) / F.col("rows")).cast(kind).alias(c)
+    both = (
+        near.select("row_id", "doc_id", "held_out", *totals)
+        .unionByName(far)
+        .groupBy("row_id")
+        .agg(
+            F.first("doc_id", ignorenulls=True).alias("doc_id"), F.first("held_out", ignorenulls=True).alias("held_out"),
+            *(F.sum(c).alias(c) for c in totals),
+        )
+    )
     return both.select(
         "doc_id",
         "held_out",
-        each("n_tokens", "long"),
-        each("n_known", "long"),
+        (F.col("n_tokens") + 1).alias("n_tokens"),
+        (F.col("n_known") + int(end["c"] > 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        each("base_score", "double"),
-        each("score", "double"),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+        (F.col("base") + F.lit(end["base"])).alias("base_score"),
+        (F.col("score") + F.lit(end["score"])).alias("score"),
+        (F.col("lattice") + F.lit(end["lattice"])).alias("lattice_score"),
+    )

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 from itertools import product
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,65 @@ def plain_base(rows):
     )
 
 
+def plain_scores(rows, passes):
+    """(score, lattice score) of each row: the model written down word by word."""
+    tokens = [[*(t or "").encode().lower().split(), b" "] for _, t in rows]
+    out = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
+    counts = Counter(w for ws, h in zip(tokens, out) if not h for w in ws)
+    n, n1, n2 = sum(counts.values()), *(sum(c == k for c in counts.values()) for k in (1, 2))
+    discount = min(0.95, n1 / (n1 + 2 * n2)) if n1 else 0.5
+    pieces = Pieces.even(VOCABULARY)
+    for _ in range(passes):
+        sums = {}
+        for w in counts:
+            if w != b" ":
+                expected(w.decode(), pieces, 4, sums)
+        pieces = Pieces.from_counts(VOCABULARY, sums)
+
+    def ways(word):
+        return all_ways(word, pieces) if len(word) < 10 else math.exp(spelled(word, pieces, 4))
+
+    def one(w):
+        whole = (counts[w] - discount) / n if counts[w] else 0.0
+        if w == b" ":
+            return math.log10(whole), math.log10(whole)
+        alone = ways(w.decode())
+        return math.log10(whole + alone * discount * len(counts) / n), math.log10(alone)
+
+    known = {w: one(w) for ws in tokens for w in ws if len(w) < 100}
+    return [tuple(sum(known[w][k] for w in ws) for k in (0, 1)) for ws in tokens if all(w in known for w in ws)]
+
+
+@pytest.mark.parametrize("passes", [0, 2])
+def test_scores_equal_the_model_written_down(spark, rows, passes):
+    rows = [r for r in rows if len(r[1] or "") < 400]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = score_documents(docs, VOCABULARY, passes=passes, broadcast_words=30).collect()
+    found = sorted((r.score, r.lattice_score) for r in out)
+    for f, e in zip(found, sorted(plain_scores(rows, passes)), strict=True):
+        assert f == pytest.approx(e, rel=1e-9)
+
+
+def test_long_texts_are_read_in_parts(spark, rows, monkeypatch):
+    from daybook.llm import lattice, words
+
+    batch = pa.RecordBatch.from_pydict({"text": [t or "" for _, t in rows], "held_out": [n % 3 == 0 for n in range(len(rows))]})
+
+    def tally():
+        sums = Counter()
+        for b in lattice._count_words(iter([batch])):
+            for r in b.to_pylist():
+                sums[r["token"], "c"] += r["c"]
+                sums[r["token"], "n"] += r["n_all"]
+        return sums
+
+    whole = tally()
+    for step in (1, 10, 100):
+        monkeypatch.setattr(lattice, "_STEP", step)
+        assert tally() == whole
+    assert [len(w) for w, _ in words.words_in(pa.RecordBatch.from_pydict({"text": ["", " "]}), 5, lattice._KINDS)] == [0]
+
+
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(9)
