@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.rows import column, slices
+from daybook.llm.rows import column
+from daybook.llm.words import Words, byte_kinds, words_in
 from daybook.workspace import materialize
 
 FILTER_BITS = 27
@@ -47,94 +48,25 @@ _HELD, _ROWS = 2_000_000, 100_000
 _SALTS = 32
 _MOST_BUCKETS = 1 << 18
 
-_WORD, _GAP, _BREAK = range(3)
-_KIND = np.full(256, _WORD, dtype=np.uint8)
-_KIND[[0x20, 0x09]] = _GAP
-_KIND[list(b".,;:!?\n\x0b\x0c\r")] = _BREAK
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
-
-
-class Words:
-    """The words of some texts: code, piece and language of each, and the words by code."""
-
-    def __init__(self, data: np.ndarray, ends: np.ndarray, langs: np.ndarray) -> None:
-        kind = _KIND[data]
-        letter = kind == _WORD
-        begins = letter.copy()
-        begins[1:] &= ~letter[:-1]
-        text_starts = ends[:-1]
-        text_starts = text_starts[text_starts < len(data)]
-        begins[text_starts] = letter[text_starts]
-        at = np.flatnonzero(begins)
-        text = np.searchsorted(ends, at, side="right") - 1
-        self.piece = np.cumsum(kind == _BREAK)[at] + text
-        self.lang = langs[text]
-        before = np.cumsum(letter)[at] - 1
-        spelled = _LOWER[data[letter]]
-        offsets = np.append(before, len(spelled)).astype(np.int32)
-        coded = pa.Array.from_buffers(
-            pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)]
-        ).dictionary_encode()
-        self.code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.words = coded.dictionary
-        self.counted = 0  # words at the start that the window before has counted
-
-    def __len__(self) -> int:
-        return len(self.code)
-
-    def runs(self, m: int) -> np.ndarray:
-        """Where the n-grams of `m` words start."""
-        n = len(self) - m + 1
-        if n <= 0:
-            return np.zeros(0, dtype=np.int64)
-        inside = self.piece[:n] == self.piece[m - 1 :]
-        inside[: max(0, self.counted - m + 1)] = False
-        return np.flatnonzero(inside)
-
-
-def _windows(text: np.ndarray, overlap: int) -> Iterator[tuple[np.ndarray, int]]:
-    """A long text in parts, cut between words; parts begin with the last `overlap` words before them."""
-    separators = _KIND[text] != _WORD
-    start, counted = 0, 0
-    while start < len(text):
-        end, firsts = start, np.zeros(0, dtype=np.int64)
-        # Each part has a word that the one before did not have, however long.
-        while end < len(text) and len(firsts) <= overlap:
-            end += _STEP
-            while end < len(text) and not separators[end - 1]:
-                gap = np.flatnonzero(separators[end : end + _STEP])
-                end += int(gap[0]) + 1 if len(gap) else _STEP
-            end = min(end, len(text))
-            letter = ~separators[start:end]
-            firsts = np.flatnonzero(letter & ~np.concatenate(([False], letter[:-1])))
-        yield text[start:end], counted
-        if end == len(text):
-            return
-        counted = overlap
-        start = start + int(firsts[-overlap]) if overlap else end
-
-
-def words_in(batch: pa.RecordBatch, overlap: int) -> Iterator[tuple[Words, list[str]]]:
-    """The words of a batch with `text` and `lang` in steps of bounded size, and the languages by number."""
-    for part in slices(batch, "text", _STEP):
-        coded = part.column("lang").dictionary_encode()
-        langs, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
-        text = part.column("text").cast(pa.large_binary())
-        offsets = np.frombuffer(text.buffers()[1], dtype=np.int64)[text.offset : text.offset + len(text) + 1]
-        body = text.buffers()[2]
-        data = np.frombuffer(body, dtype=np.uint8) if body is not None else np.zeros(0, np.uint8)
-        sizes = np.diff(offsets)
-        long = np.flatnonzero(sizes > _STEP)
-        for a, b in zip([0, *(long + 1)], [*long, len(text)]):
-            if b > a:
-                yield Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], langs[a:b]), names
-            if b < len(text):
-                whole = data[offsets[b] : offsets[b + 1]]
-                for window, counted in _windows(whole, overlap):
-                    found = Words(window, np.array([0, len(window)]), langs[b : b + 1])
-                    found.counted = counted
-                    yield found, names
+_KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
+
+
+def _steps(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[Words, np.ndarray, list[str]]]:
+    """The words of some texts at a time, the language of each word, and the languages by number."""
+    coded = batch.column("lang").dictionary_encode()
+    langs, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    for found, rows in words_in(batch, _STEP, _KINDS, longest - 1):
+        yield found, langs[rows[found.text]], names
+
+
+def _runs(found: Words, m: int) -> np.ndarray:
+    """Where the n-grams of `m` words start."""
+    n = len(found) - m + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    inside = found.piece[:n] == found.piece[m - 1 :]
+    inside[: max(0, found.counted - m + 1)] = False
+    return np.flatnonzero(inside)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -143,16 +75,18 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def gram_hashes(found: Words, names: list[str], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def gram_hashes(
+    found: Words, langs: np.ndarray, names: list[str], longest: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each number of words: where n-grams start, and their hashes."""
     digest = xxhash.xxh3_64_intdigest
     word = np.fromiter(map(digest, found.words.to_pylist()), dtype=np.uint64, count=len(found.words))[found.code]
-    lang = np.fromiter((digest(n.encode(), 1) for n in names), dtype=np.uint64, count=len(names))[found.lang]
+    lang = np.fromiter((digest(n.encode(), 1) for n in names), dtype=np.uint64, count=len(names))[langs]
     h = _mixed(word ^ lang)
     for m in range(1, longest + 1):
         if m > 1:
             h = _mixed(h[: len(found) - m + 1] * np.uint64(0x9E3779B97F4A7C15) + word[m - 1 :])
-        at = found.runs(m)
+        at = _runs(found, m)
         yield m, at, h[at]
 
 
@@ -232,8 +166,8 @@ def _deal(longest: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for found, names in words_in(batch, longest - 1):
-                held.append(_counted(np.concatenate([h for _, _, h in gram_hashes(found, names, longest)])))
+            for found, langs, names in _steps(batch, longest):
+                held.append(_counted(np.concatenate([h for _, _, h in gram_hashes(found, langs, names, longest)])))
                 if sum(len(k) for k, _ in held) >= _HELD:
                     yield rows(*_counted(*map(np.concatenate, zip(*held))))
                     held = []
@@ -297,10 +231,12 @@ _COUNT = T.StructType(
 )
 
 
-def _phrases(found: Words, at: np.ndarray, m: int, langs: int) -> tuple[np.ndarray, np.ndarray]:
+def _phrases(
+    found: Words, lang: np.ndarray, at: np.ndarray, m: int, langs: int
+) -> tuple[np.ndarray, np.ndarray]:
     """A place for each distinct n-gram of those at `at`, by language and words, and its number."""
     size = len(found.words)
-    parts = [found.lang[at], *(found.code[at + k] for k in range(m))]
+    parts = [lang[at], *(found.code[at + k] for k in range(m))]
     if langs * size**m < 1 << 63:
         key = parts[0]
         for part in parts[1:]:
@@ -320,24 +256,24 @@ def _count(longest: int, known):
         bits = np.frombuffer(known.value, dtype=np.uint8)
         schema = pa.schema([("lang", pa.string()), ("m", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
         for batch in batches:
-            for found, names in words_in(batch, longest - 1):
+            for found, langs, names in _steps(batch, longest):
                 lang_names = pa.array(names, pa.string())
-                every = np.bincount(found.lang[found.counted :], minlength=len(names))
+                every = np.bincount(langs[found.counted :], minlength=len(names))
                 yield pa.RecordBatch.from_arrays(
                     [lang_names, pa.array([0] * len(names), pa.int32()), pa.array([""] * len(names)), pa.array(every, pa.int64())],
                     schema=schema,
                 )
                 words = found.words.cast(pa.string())
-                for m, at, h in gram_hashes(found, names, longest):
+                for m, at, h in gram_hashes(found, langs, names, longest):
                     place = h >> np.uint64(64 - FILTER_BITS)
                     set_ = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1
-                    at, count = _phrases(found, at[set_.astype(bool)], m, len(names))
+                    at, count = _phrases(found, langs, at[set_.astype(bool)], m, len(names))
                     for a in range(0, len(at), _ROWS):
                         some = at[a : a + _ROWS]
                         spelled = [words.take(pa.array(found.code[some + k])) for k in range(m)]
                         yield pa.RecordBatch.from_arrays(
                             [
-                                lang_names.take(pa.array(found.lang[some])),
+                                lang_names.take(pa.array(langs[some])),
                                 pa.array(np.full(len(some), m, np.int32)),
                                 pc.binary_join_element_wise(*spelled, " "),
                                 pa.array(count[a : a + _ROWS].astype(np.int64)),
