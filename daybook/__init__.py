@@ -41,16 +41,21 @@ from daybook.sources.extract import (
 )
 from daybook.sources.files import export_csv, read_merchants_csv, read_transactions_csv
 from daybook.sources.tables import (
-    add_first_dates,
-    append_transactions,
+    daily_facts,
     read_daily,
-    read_first_dates,
     read_merchants,
+    read_table,
     read_transactions,
     replace_months,
     replace_table,
     write_daily,
 )
+from daybook.sources.transactions import (
+    append_transactions,
+    read_first_dates,
+    stored_keys,
+    upsert_transactions,
+)
 from daybook.streaming.ingest import ingest_stream, load_new_files
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -53,8 +53,14 @@ def watermark(daily: DataFrame, lookback_days: int = 0) -> date:
 
     `lookback_days` lowers it, to pick up transactions that arrived late.
     """
-    last = watermark_row(daily).first()["last_processed"]
-    return last if last == NO_DAY else last - timedelta(days=lookback_days)
+    return watermark_from(watermark_row(daily).first()["last_processed"], lookback_days)
+
+
+def watermark_from(last_day: date | None, lookback_days: int = 0) -> date:
+    """The watermark of a table whose last day is known."""
+    if last_day is None or last_day == NO_DAY:
+        return NO_DAY
+    return last_day - timedelta(days=lookback_days)
 
 
 def watermark_message(wm: date) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -46,9 +47,13 @@ class LoadResult:
     report: DataFrame
 
 
-def load_transactions(raw: DataFrame, existing: DataFrame, compat: bool = False) -> LoadResult:
+def load_transactions(
+    raw: DataFrame, existing: DataFrame | Callable[[DataFrame], DataFrame], compat: bool = False
+) -> LoadResult:
     """Decide about every landed row: append, ignore or reject.
 
+    `existing` is the stored table, or looks up which of some keys are stored.
+
     Inside a file the first row of a key counts, even where it is then
     rejected. Across files the first accepted one does, in order of file
     names. A key that is already stored wins over all of them. Both decisions
@@ -71,7 +76,12 @@ def load_transactions(raw: DataFrame, existing: DataFrame, compat: bool = False)
     # number of files.
     earlier = Window.partitionBy(TRANSACTION_KEY).orderBy(SOURCE_FILE)
     ranked = accepted.withColumn("_rank", F.row_number().over(earlier))
-    fresh, _ = append_ignore(ranked.where(F.col("_rank") == 1), existing, TRANSACTION_KEY)
+    first = ranked.where(F.col("_rank") == 1)
+    if callable(existing):
+        known = existing(accepted.select(TRANSACTION_KEY)).select(TRANSACTION_KEY)
+        fresh = first.join(known, TRANSACTION_KEY, "left_anti")
+    else:
+        fresh, _ = append_ignore(first, existing, TRANSACTION_KEY)
     to_append = materialize(fresh.drop("_rank", _COPIES), "accepted")
     row = [TRANSACTION_KEY, SOURCE_FILE]
     ignored = accepted.join(to_append.select(*row), row, "left_anti")

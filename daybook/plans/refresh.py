@@ -20,12 +20,13 @@ from daybook.operators.summary import (
     delete_pairs,
     summary_full,
     summary_incremental,
-    watermark,
+    watermark_from,
     watermark_message,
 )
 from daybook.operators.surrogate import with_surrogate_key
 from daybook.schemas import DAILY_KEY, DAILY_NOT_NULL
-from daybook.sources.tables import read_daily, replace_months, write_daily
+from daybook.sources.tables import daily_facts, read_daily, read_transactions, replace_months, write_daily
+from daybook.sources.transactions import read_first_dates
 from daybook.workspace import materialize, scratch
 
 logger = logging.getLogger("daybook")
@@ -112,7 +113,7 @@ def rebuild_daily(
 
 def update_daily(
     spark: SparkSession,
-    tx: DataFrame,
+    tx: DataFrame | str,
     path: str,
     run_ts: str,
     as_of: date | None = None,
@@ -122,15 +123,21 @@ def update_daily(
     """Update the stored daily table in place; returns the slice summary.
 
     Only the months from the watermark on are rewritten. Kept rows keep their
-    number, new ones continue after the highest.
+    number, new ones continue after the highest; the table's commit knows it
+    and the last day. `tx` is the stored transactions table's path, which knows
+    its first dates, so that only months from the watermark on are read; or any
+    transactions, over all of which first dates are then taken unless `first`
+    has them.
     """
-    stored = read_daily(spark, path)
-    wm = watermark(stored, lookback_days)
+    stored, facts = read_daily(spark, path), daily_facts(spark, path)
+    if isinstance(tx, str):
+        first = read_first_dates(spark, tx) if first is None else first
+        tx = read_transactions(spark, tx)
+    wm = watermark_from(facts.last_day, lookback_days)
     logger.info(watermark_message(wm))
     with scratch(spark):
         new, pairs = incremental_rows(tx, stored, wm, as_of, first)
-        top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
-        numbered = materialize(metrics.to_sink(with_surrogate_key(new, top + 1), run_ts), "numbered-days")
+        numbered = materialize(metrics.to_sink(with_surrogate_key(new, facts.top_id + 1), run_ts), "numbered-days")
         require_constraints(numbered, DAILY_KEY, DAILY_NOT_NULL)
         touched = stored.where(F.col("month") >= f"{wm:%Y-%m}")
         pairs = pairs.withColumn("mid", F.col("mid").cast("string"))

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators.cleaning import MALFORMED
 from daybook.schemas import MERCHANTS, MONEY_COLUMNS, TRANSACTION_KEY, TRANSACTIONS, as_strings
-from daybook.workspace import path_exists
+from daybook.workspace import path_exists, qualified
 
 SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW = "source_file", "source_block", "source_row"
 LINEAGE = (SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW)
@@ -27,6 +30,8 @@ LINEAGE_SCHEMA = T.StructType(
 REQUIRED_TRANSACTION_COLUMNS = (TRANSACTION_KEY, *MONEY_COLUMNS)
 # Quotes inside a quoted field are doubled, on reading and on writing.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# What the reader takes for a blank line: control characters and blanks only.
+_BLANK = "".join(map(chr, range(0x21)))
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -58,19 +63,76 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list
     return sorted(row.path for row in files.toLocalIterator())
 
 
+def _listed(path: str) -> str:
+    """A path as file listings write it."""
+    return re.sub(r"^file:/+", "file:/", path)
+
+
+def plain_path(path: str) -> str:
+    """The path of a scan's metadata as file listings write it: nothing encoded."""
+    return _listed(unquote(path))
+
+
+# Above any file's size: a split of its own for each file.
+_ONE_FILE = str(1 << 50)
+
+
+@contextmanager
+def _a_task_for_each_file(spark: SparkSession) -> Iterator[None]:
+    """For the planning of a scan: whole files, one to a task, handed on in small batches."""
+    settings = {
+        "spark.sql.files.maxPartitionBytes": _ONE_FILE,
+        "spark.sql.files.openCostInBytes": _ONE_FILE,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not blank; nothing behind it is read."""
+    for batch in batches:
+        for line, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if line.strip(_BLANK):
+                yield pa.RecordBatch.from_pydict({"line": [line], "path": [path]})
+                return
+
+
 def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
     """Column names of each file, by the rules of the reader of the data.
 
-    Each file is asked for its first record only, many at a time; how many
-    files there are makes no difference to what is loaded. Streams bound their
-    number by `files_per_batch`.
+    One job finds the first lines of all files; a task stops reading its file
+    there. Each different line is then read as a header once, however many
+    files begin with it. A file that is empty or cannot be read has no columns.
     """
+    if not paths:
+        return {}
+    with _a_task_for_each_file(spark):
+        lines = spark.read.option("ignoreCorruptFiles", "true").text(paths)
+        lines = lines.select("value", F.col("_metadata.file_path").alias("path"))
+        found = lines.mapInArrow(_first_line, "line string, path string").collect()
+    names = {}
+    for line in {r.line for r in found}:
+        one = spark.sparkContext.parallelize([line], 1)
+        names[line] = tuple(spark.read.options(**CSV_OPTIONS).csv(one).columns)
+    first = {plain_path(r.path): names[r.line] for r in found}
+    return {path: first.get(_listed(qualified(spark, path)), ()) for path in paths}
+
+
+_UNREADABLE = re.compile(r"\[FAILED_READ_FILE[^\]]*\] Encountered error while reading file (.*?)\.\s+SQLSTATE", re.DOTALL)
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(paths, pool.map(header, paths)))
+def unreadable_file(error: Exception, paths: list[str]) -> str | None:
+    """The one of some files whose reading has failed with this error, if any has."""
+    told = _UNREADABLE.search(str(error))
+    wanted = told and {plain_path(told[1]), _listed(told[1])}
+    return next((p for p in paths if wanted and _listed(p) in wanted), None)
 
 
 def _read_group(
@@ -119,7 +181,9 @@ def read_csv_files(
     skipped = []
     for path, header in read_headers(spark, paths).items():
         absent = [c for c in required if c not in header]
-        if absent:
+        if required and not header:
+            skipped.append(SkippedFile(path, "no header that can be read"))
+        elif absent:
             skipped.append(SkippedFile(path, f"no column {', '.join(absent)}"))
         else:
             groups[header].append(path)

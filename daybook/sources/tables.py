@@ -1,41 +1,85 @@
-"""The stored tables: reading, appending, replacing."""
+"""The stored tables: reading, appending, replacing, updating by slice.
+
+A table is what its last commit lists (see `commits`). A folder of plain Parquet
+files without commits is read as it is; the first write takes its rows over.
+"""
 
 from __future__ import annotations
 
-from uuid import uuid4
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.values import month_of
-from daybook.operators.metrics import FIRST_DATES, first_dates_of, with_month
+from daybook.operators.layout import interleaved
+from daybook.operators.metrics import with_month
 from daybook.schemas import DAILY_METRICS, MERCHANTS, TRANSACTIONS
-from daybook.workspace import delete_path, materialize, move_path, path_exists
-
+from daybook.sources.commits import Commit, commit, last_commit, scan, vacuum, write_folder
+from daybook.workspace import materialize
 
-_FIRST_DATES = T.StructType(
-    [
-        T.StructField("mid", T.LongType()),
-        *(T.StructField(name, T.TimestampNTZType()) for name in FIRST_DATES),
-    ]
-)
+ROWS = "rows"
+# How a commit names the month of rows without one.
+NO_MONTH = ""
 
 
 def _partitioned(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema, T.StructField("month", T.StringType())])
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _plain(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
+    """A folder of Parquet files without commits; None if there is nothing."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
         raise
 
 
+def _months(names) -> Column:
+    """Whether the partition column is one of these months."""
+    known = [n for n in names if n != NO_MONTH]
+    inside = F.col("month").isin(known)
+    return inside | F.col("month").isNull() if NO_MONTH in names else inside
+
+
+def committed_rows(
+    spark: SparkSession, path: str, now: Commit, schema: T.StructType | None = None, folders=None
+) -> DataFrame:
+    """The rows of a commit, or those of some of its folders, in one scan."""
+    listed = now.of(ROWS) if folders is None else {f: now.folders[f] for f in folders}
+    full = T.StructType([*schema, T.StructField("batch", T.StringType())]) if schema is not None else None
+    rows = scan(spark, path, ROWS, listed, full)
+    for folder, known in listed.items():
+        if known.get("dropped"):
+            # Some months of this folder have been written anew elsewhere.
+            rows = rows.where((F.col("batch") != folder.rpartition("=")[2]) | _months(known["months"]))
+    return rows.drop("batch")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
+    now = last_commit(spark, path)
+    if now is None:
+        return _plain(spark, path, schema)
+    return committed_rows(spark, path, now, schema) if now.of(ROWS) else None
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    rows = _read(spark, path, schema)
+    return rows if rows is not None else spark.createDataFrame([], schema)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table, with the schema of its files unless one is given."""
+    rows = _read(spark, path, schema)
+    if rows is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return rows
+
+
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     """The stored transactions with their partition column; empty at first."""
     return _read_or_empty(spark, path, _partitioned(TRANSACTIONS))
@@ -51,119 +95,123 @@ def read_merchants(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, MERCHANTS)
 
 
-def append_transactions(rows: DataFrame, path: str) -> None:
-    """Append rows, by month and in time order inside it.
+def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Replace a whole table.
 
-    The key ends the range order, so rows of one instant still spread over
-    tasks and every file covers a narrow span of time.
+    The new rows are written beside the old ones, and one commit then makes
+    them the table. A failure at any moment leaves the old table; readers see
+    the old or the new one, never none.
     """
-    order = ("month", "transaction_date", "transaction_uuid")
-    (
-        rows.select(*TRANSACTIONS.fieldNames(), month_of(F.col("transaction_date")).alias("month"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("append")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    now = last_commit(spark, path)
+    folder = write_folder(df, path, ROWS, partition_by)
+    commit(spark, path, now, {folder: {}}, {})
+    vacuum(spark, path)
 
 
-def add_first_dates(first: DataFrame, path: str) -> None:
-    """Note first dates of newly loaded rows.
+def _laid_out(daily: DataFrame) -> DataFrame:
+    """Daily rows spread for writing: by month, then by mid and day alike.
 
-    Rows are only added, so that a crash loses nothing and a repeat does no
-    harm; `read_first_dates` takes the earliest per mid.
+    A month may fill many tasks. Within it rows follow a curve through mid and
+    day, so that a file holds a narrow band of both and conditions on either
+    one skip files.
     """
-    first.write.mode("append").parquet(path)
+    rows = with_month(daily)
+    curve = interleaved(rows, F.col("mid").cast("long"), F.dayofmonth("day"))
+    order = ("month", "_curve", "mid", "day", "merchant_name")
+    return rows.withColumn("_curve", curve).repartitionByRange(*order).sortWithinPartitions(*order).drop("_curve")
 
 
-def read_first_dates(spark: SparkSession, path: str) -> DataFrame | None:
-    """First dates per mid from all notes, or None when there are none yet."""
-    try:
-        notes = spark.read.schema(_FIRST_DATES).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return first_dates_of(notes)
+def _month_facts(daily: DataFrame) -> dict[str, dict]:
+    """Rows, last day and highest number of each month; as many entries as months."""
+    number = F.max("id") if "id" in daily.columns else F.lit(None)
+    found = daily.groupBy("month").agg(F.count("*").alias("n"), F.max("day").alias("d"), number.alias("i")).collect()
+    return {
+        r.month if r.month is not None else NO_MONTH: {"rows": r.n, "last_day": r.d and r.d.isoformat(), "top_id": r.i}
+        for r in found
+    }
 
 
-def _beside(path: str, label: str) -> str:
-    folder, _, name = path.rstrip("/").rpartition("/")
-    return f"{folder}/.{name}-{label}-{uuid4().hex}"
+@dataclass(frozen=True)
+class DailyFacts:
+    """What the daily table's commit knows without a look at its rows."""
 
+    last_day: date | None
+    top_id: int
 
-def _swap(spark: SparkSession, written: str, path: str) -> None:
-    """Put a completely written folder in the place of a table.
 
-    Two renames: there is never half a table at `path`. Where the store cannot
-    rename folders at once, a reader may meet the moment between them.
-    """
-    old = None
-    if path_exists(spark, path):
-        old = _beside(path, "old")
-        move_path(spark, path, old)
-    move_path(spark, written, path)
-    if old:
-        delete_path(spark, old)
-
-
-def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a whole table.
+def daily_facts(spark: SparkSession, path: str) -> DailyFacts:
+    """Last day and highest number of the daily table.
 
-    The new one is written beside the old one and takes its place when it is
-    complete, so a failure at any stage of the write leaves the old table.
+    Every write notes them by month. Only a table that was not written here is
+    scanned for them.
     """
-    written = _beside(path, "new")
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    try:
-        writer.parquet(written)
-    except Exception:
-        delete_path(df.sparkSession, written)
-        raise
-    _swap(df.sparkSession, written, path)
+    now = last_commit(spark, path)
+    months = now.facts.get("months") if now else None
+    if months is None:
+        rows = _read(spark, path, _partitioned(DAILY_METRICS))
+        months = _month_facts(rows) if rows is not None else {}
+    days = [m["last_day"] for m in months.values() if m["last_day"]]
+    return DailyFacts(
+        date.fromisoformat(max(days)) if days else None, max((m["top_id"] or 0 for m in months.values()), default=0)
+    )
 
 
-def _laid_out(daily: DataFrame) -> DataFrame:
-    """Daily rows spread for writing: by month, then by mid and day.
+def _store_months(staged: DataFrame, path: str, now: Commit | None, facts: dict, kept: dict[str, dict]) -> None:
+    """Write the months of `staged` and commit them beside the `kept` folders."""
+    spark = staged.sparkSession
+    folder = write_folder(_laid_out(staged.drop("month")), path, ROWS, ("month",))
+    written = _month_facts(committed_rows(spark, path, Commit(0, {folder: {}}), _like(staged), [folder]))
+    folders = {**kept, folder: {"months": sorted(written)}}
+    commit(spark, path, now, folders, {"months": {**facts, **written}})
+    vacuum(spark, path)
 
-    A month may fill many tasks, a file holds a narrow band of mids, so both
-    day and mid conditions skip files.
-    """
-    order = ("month", "mid", "day", "merchant_name")
-    return with_month(daily).repartitionByRange(*order).sortWithinPartitions(*order)
+
+def _like(rows: DataFrame) -> T.StructType:
+    """The schema of rows with their month last, as a partitioned table gives it back."""
+    return _partitioned(T.StructType([f for f in rows.schema if f.name != "month"]))
 
 
 def write_daily(daily: DataFrame, path: str) -> None:
     """Rebuild the daily table; the old one stays until the new one is whole."""
-    replace_table(_laid_out(daily), path, ("month",))
+    now = last_commit(daily.sparkSession, path)
+    _store_months(materialize(with_month(daily), "daily"), path, now, {}, {})
 
 
 class EmptiedMonthError(RuntimeError):
-    """A month to replace would keep its old rows, as no new ones came."""
+    """A stored month would be left without a row."""
+
+
+def _without(folders: dict[str, dict], months) -> dict[str, dict]:
+    """The folders after some months have been taken out of them."""
+    left = {}
+    for folder, known in folders.items():
+        stay = [m for m in known["months"] if m not in months]
+        if stay:
+            dropped = known.get("dropped") or len(stay) < len(known["months"])
+            left[folder] = {**known, "months": stay, **({"dropped": True} if dropped else {})}
+    return left
 
 
 def replace_months(daily: DataFrame, path: str) -> None:
     """Replace exactly those months of the daily table that `daily` holds.
 
-    The rows may come from the same table: they are staged before any month is
-    overwritten. A stored month at or after the first replaced one that gets
-    no rows is an error, as it would silently stay.
+    The rows may come from the same table. Other months keep their files. A
+    stored month at or after the first replaced one that gets no rows is an
+    error, as an update only ever adds days to it.
     """
     spark = daily.sparkSession
     staged = materialize(with_month(daily), "months")
     fresh = {r.month for r in staged.select("month").distinct().toLocalIterator()}
     if not fresh:
         return
-    first = min(fresh)
-    stored = read_daily(spark, path).where(F.col("month") >= first)
-    left = {r.month for r in stored.select("month").distinct().toLocalIterator()} - fresh
+    now = last_commit(spark, path)
+    if now is None and (plain := _plain(spark, path, _partitioned(DAILY_METRICS))) is not None:
+        _store_months(plain, path, None, {}, {})
+        now = last_commit(spark, path)
+    stored = dict(now.facts["months"]) if now else {}
+    left = {m for m in stored if m != NO_MONTH and m >= min(fresh)} - fresh
     if left:
         raise EmptiedMonthError(f"no rows for stored months {sorted(left)}")
-    (
-        _laid_out(staged.drop("month"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    kept = _without(now.of(ROWS), fresh) if now else {}
+    _store_months(staged, path, now, {m: f for m, f in stored.items() if m not in fresh}, kept)

@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from daybook.operators.metrics import first_dates
 from daybook.plans.load import load_transactions
 from daybook.plans.refresh import update_daily
 from daybook.schemas import TRANSACTIONS
-from daybook.sources.files import FILE_SCHEMA, REQUIRED_TRANSACTION_COLUMNS, read_csv_files
-from daybook.sources.tables import (
-    add_first_dates,
-    append_transactions,
-    read_first_dates,
-    read_transactions,
+from daybook.sources.files import (
+    FILE_SCHEMA,
+    REQUIRED_TRANSACTION_COLUMNS,
+    SkippedFile,
+    read_csv_files,
+    unreadable_file,
 )
+from daybook.sources.transactions import append_transactions, stored_keys
 from daybook.workspace import path_exists, scratch
 
 
@@ -32,7 +32,6 @@ def ingest_stream(
     *,
     rejects: str | None = None,
     reports: str | None = None,
-    first_dates_table: str | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = 1000,
     compat: bool = False,
@@ -44,11 +43,11 @@ def ingest_stream(
     header and decides with the same functions as a batch load. The table is
     the memory of what is loaded, so no state grows with the stream, and a
     replayed batch finds its keys stored. `rejects` receives rejected rows and
-    skipped files as JSON, one folder per batch, overwritten by a replay.
+    skipped files as JSON, one folder per batch, overwritten by a replay; a file
+    that cannot be read is among them, and the others are loaded.
     `reports` receives, once for each batch, the counts of each file, its control
-    totals and the ignored rows. With `first_dates_table` the first dates are noted there as
-    rows are loaded, and a daily update does not scan all stored transactions
-    for them. Files of the last batch are archived when the next one is planned.
+    totals and the ignored rows. A batch looks up its keys in the table's index,
+    and rows, keys and first dates are stored in one step. Files of the last batch are archived when the next one is planned.
     The daily table is not touched here, see `load_new_files`.
     """
     files = (
@@ -72,15 +71,20 @@ def ingest_stream(
         if not found:
             return
         session = batch.sparkSession
-        raw, skipped = read_csv_files(session, found, TRANSACTIONS, REQUIRED_TRANSACTION_COLUMNS)
-        result = load_transactions(raw, read_transactions(session, table), compat)
-        if first_dates_table:
-            # Before the rows are stored: a replay finds them stored and would
-            # not note them again.
-            if read_first_dates(session, first_dates_table) is None:
-                stored = first_dates(read_transactions(session, table))
-                add_first_dates(stored, first_dates_table)
-            add_first_dates(first_dates(result.to_append), first_dates_table)
+        broken: list[SkippedFile] = []
+        while True:
+            raw, skipped = read_csv_files(session, found, TRANSACTIONS, REQUIRED_TRANSACTION_COLUMNS)
+            try:
+                result = load_transactions(raw, lambda keys: stored_keys(session, table, keys), compat)
+                break
+            except Exception as error:
+                # A file that breaks off behind its header: the others are loaded without it.
+                path = unreadable_file(error, found)
+                if path is None:
+                    raise
+                broken.append(SkippedFile(path, "cannot be read to its end"))
+                found.remove(path)
+        skipped = [*skipped, *broken]
         run_name = f"load={_stream_id(session, checkpoint)}-{batch_id}"
         if reports:
             for name, rows in (("files", result.report), ("totals", result.totals), ("ignored", result.ignored)):
@@ -113,7 +117,6 @@ def load_new_files(
     run_ts: str | None = None,
     as_of: date | None = None,
     lookback_days: int = 0,
-    first_dates_table: str | None = None,
     **options,
 ) -> DataFrame:
     """One run: load all new files, then update the daily table once.
@@ -122,13 +125,10 @@ def load_new_files(
     files take, and moves only with the update: a run that breaks off in between
     is made up for by the next one. Returns the summary of the updated days.
     """
-    query = ingest_stream(
-        spark, in_dir, table, archive_dir, checkpoint, first_dates_table=first_dates_table, once=True, **options
-    )
+    query = ingest_stream(spark, in_dir, table, archive_dir, checkpoint, once=True, **options)
     query.awaitTermination()
     run_ts = run_ts or spark.sql("SELECT substring(string(localtimestamp()), 1, 19)").first()[0]
-    first = read_first_dates(spark, first_dates_table) if first_dates_table else None
-    return update_daily(spark, read_transactions(spark, table), daily, run_ts, as_of, lookback_days, first)
+    return update_daily(spark, table, daily, run_ts, as_of, lookback_days)
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:

@@ -59,6 +59,14 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its store; one that names it already stays."""
+    if ":" in path.partition("/")[0]:
+        return path
+    store, target = _file_system(spark, path)
+    return store.makeQualified(target).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     store, target = _file_system(spark, path)
     return store.exists(target)
@@ -79,6 +87,31 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none without the folder."""
+    store, target = _file_system(spark, folder)
+    return [entry.getPath().getName() for entry in store.listStatus(target)] if store.exists(target) else []
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it must not be there yet."""
+    store, target = _file_system(spark, path)
+    out = store.create(target, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    store, target = _file_system(spark, path)
+    stream = store.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete, at the end, the intermediate tables that were made inside.

@@ -19,7 +19,7 @@ RUN = "2024-05-01 00:00:00"
 def store(spark, tx, cut):
     path = fresh_path(spark, "daily")
     db.write_daily(db.full_refresh(tx, cut), path)
-    return spark.read.parquet(path)
+    return db.read_table(spark, path)
 
 
 def by_key(df):
@@ -135,4 +135,4 @@ def test_month_that_would_be_emptied_is_refused(spark, make_tx):
     db.write_daily(rows, path)
     with pytest.raises(EmptiedMonthError):
         db.replace_months(rows.where("day < date'2024-02-01'"), path)
-    assert spark.read.parquet(path).count() == 2
+    assert db.read_table(spark, path).count() == 2

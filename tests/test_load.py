@@ -333,10 +333,10 @@ def test_failed_write_leaves_the_whole_old_table(spark, tmp_path):
     broken = spark.range(100).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
     with pytest.raises(Exception, match="lost"):
         db.replace_table(broken, path)
-    assert spark.read.parquet(path).count() == 5
+    assert db.read_table(spark, path).count() == 5
     assert sorted(p.name for p in tmp_path.iterdir()) == ["table"]
     db.replace_table(spark.range(3), path)
-    assert spark.read.parquet(path).count() == 3
+    assert db.read_table(spark, path).count() == 3
 
 
 def test_upsert_keeps_the_newest_version(spark):

@@ -56,7 +56,7 @@ def test_refresh_has_no_single_partition_step(stored):
 def test_update_reads_only_the_watermarks_year_of_history(spark, stored, tmp_path):
     path = str(tmp_path / "daily")
     db.write_daily(db.full_refresh(stored, date(2001, 3, 1)), path)
-    text = plan(db.incremental_update(stored, spark.read.parquet(path), date(2001, 2, 28)))
+    text = plan(db.incremental_update(stored, db.read_table(spark, path), date(2001, 2, 28)))
     assert re.search(r"month.*>= 2001-01.*month.*<= 2001-02", text)
 
 

@@ -1,10 +1,12 @@
 """The file stream against the batch load."""
 
+import gzip
 import os
 from datetime import date
 from pathlib import Path
 
 import daybook as db
+from daybook.sources.files import list_files, read_headers
 from daybook.workspace import fresh_path, workspace
 
 HEADER = "transaction_uuid,merchant_account_id,merchant_name,mid,amount,refunded_amount,status,transaction_type,transaction_date"
@@ -88,23 +90,18 @@ def test_daily_table_follows_the_load(spark, tmp_path):
     assert float(rows[date(2024, 1, 2)].mtd_total) == 30.0
 
 
-def test_noted_first_dates_give_the_same_daily_table(spark, tmp_path):
-    for side, extra in (("scanned", {}), ("noted", {"first_dates_table": "first"})):
-        home = tmp_path / side
-        extra = {k: str(home / v) for k, v in extra.items()}
-        land(home / "in", "a.csv", line("k1", "2024-01-05", "500"), line("k2", "2024-01-05", "900"))
-        run(spark, home, daily=str(home / "daily"))
-        land(home / "in", "b.csv", line("k3", "2024-01-03", "2000"), line("k4", "2024-01-06"))
-        run(spark, home, daily=str(home / "daily"), **extra)
-        land(home / "in", "c.csv", line("k5", "2024-01-07", "3000"))
-        run(spark, home, daily=str(home / "daily"), **extra)
-    columns = ("day", "first_transaction_date", "first_business_transaction_date", "mtd_total")
-    tables = [
-        sorted(map(tuple, db.read_daily(spark, str(tmp_path / side / "daily")).select(*columns).collect()))
-        for side in ("scanned", "noted")
-    ]
-    assert tables[0] == tables[1] and len(tables[0]) == 3
-    assert str(tables[0][-1][2]) == "2024-01-03 10:00:00"
+def test_noted_first_dates_are_those_of_a_scan(spark, tmp_path):
+    daily, table = str(tmp_path / "daily"), str(tmp_path / "table")
+    land(tmp_path / "in", "a.csv", line("k1", "2024-01-05", "500"), line("k2", "2024-01-05", "900"))
+    run(spark, tmp_path, daily=daily)
+    land(tmp_path / "in", "b.csv", line("k3", "2024-01-03", "2000"), line("k4", "2024-01-06"))
+    run(spark, tmp_path, daily=daily)
+    land(tmp_path / "in", "c.csv", line("k5", "2024-01-07", "3000"))
+    run(spark, tmp_path, daily=daily)
+    scanned = db.first_dates(db.read_transactions(spark, table))
+    assert sorted(db.read_first_dates(spark, table).collect()) == sorted(scanned.collect())
+    rows = db.read_daily(spark, daily).orderBy("day").collect()
+    assert len(rows) == 3 and str(rows[-1].first_business_transaction_date) == "2024-01-03 10:00:00"
 
 
 def test_daily_table_does_not_depend_on_batches(spark, tmp_path):
@@ -148,3 +145,35 @@ def test_batches_leave_no_scratch_tables(spark, tmp_path):
         land(tmp_path / "in", f"f{n}.csv", line(f"k{n}", f"2024-01-0{n + 1}"))
     run(spark, tmp_path, daily=str(tmp_path / "daily"), files_per_batch=1)
     assert set(os.listdir(workspace(spark))) == before
+
+
+def test_broken_files_are_noted_and_the_others_loaded(spark, tmp_path):
+    land(tmp_path / "in", "a b%20c#.csv", line("k1", "2024-01-01"))
+    (tmp_path / "in" / "bad.csv.gz").write_bytes(b"no gzip at all")
+    whole = "\n".join((HEADER, *(line(f"g{n}", "2024-01-01", str(n * 7919 % 10007)) for n in range(20_000))))
+    packed = gzip.compress(whole.encode())
+    (tmp_path / "in" / "cut % off.csv.gz").write_bytes(packed[: len(packed) // 2])
+    (tmp_path / "in" / "empty.csv").write_text("")
+    (tmp_path / "in" / "good.csv.gz").write_bytes(gzip.compress(f"{HEADER}\n{line('k2', '2024-01-01')}\n".encode()))
+    run(spark, tmp_path, rejects=str(tmp_path / "rejects"), pattern="*.csv*")
+    assert keys(spark, tmp_path) == ["k1", "k2"]
+    noted = {r.source_file.rpartition("/")[2]: r.reject_reason for r in spark.read.json(str(tmp_path / "rejects")).collect()}
+    unread = "no header that can be read"
+    assert noted.pop("empty.csv", unread) == unread
+    assert noted == {"bad.csv.gz": unread, "cut % off.csv.gz": "cannot be read to its end"}
+
+
+def test_headers_of_any_number_of_files_take_the_same_jobs(spark, tmp_path):
+    context = spark.sparkContext
+    jobs = {}
+    for n in (40, 160):
+        for i in range(n):
+            land(tmp_path / str(n), f"{i}.csv", line(f"k{i}", "2024-01-01"), header=HEADER if i % 2 else HEADER + ",extra")
+        paths = list_files(spark, str(tmp_path / str(n)))
+        context.setJobGroup(f"headers-{n}", "")
+        headers = read_headers(spark, paths)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        jobs[n] = len(context.statusTracker().getJobIdsForGroup(f"headers-{n}"))
+        assert len(headers) == n and {len(h) for h in headers.values()} == {9, 10}
+    assert jobs[40] == jobs[160] <= 6
+    assert read_headers(spark, []) == {}

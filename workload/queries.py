@@ -105,7 +105,7 @@ def _stored(spark: SparkSession, sf_dir: str, cut: date) -> tuple[DataFrame, Dat
     tx = fx.transactions(spark, sf_dir)
     path = fresh_path(spark, "daily-table")
     db.write_daily(db.full_refresh(tx, cut), path)
-    return tx, spark.read.parquet(path), path
+    return tx, db.read_table(spark, path), path
 
 
 def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +198,7 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = db.merchant_export(*fx.merchant_sources(spark, sf_dir))
     db.replace_table(export.unionByName(export), path)
     db.replace_table(export, path)
-    return spark.read.parquet(path)
+    return db.read_table(spark, path)
 
 
 def merchants_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,7 +342,7 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = fresh_path(spark, "stream")
     db.load_new_files(
         spark, folder, f"{home}/table", f"{home}/archive", f"{home}/progress", f"{home}/daily",
-        run_ts=RUN, files_per_batch=2, first_dates_table=f"{home}/first",
+        run_ts=RUN, files_per_batch=2,
     )
     return db.read_daily(spark, f"{home}/daily").select(*REFRESHED)
 
