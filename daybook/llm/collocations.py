@@ -42,9 +42,9 @@ from daybook.workspace import materialize
 FILTER_BITS = 27
 MASS = 1_000_000
 # Text of one hash partition, and of one step of a task, in bytes.
-_DEALT, _STEP = 4 << 20, 4 << 20
+_DEALT, _STEP = 4 << 20, 2 << 20
 # Counted n-grams a task holds before it hands them on; rows of a batch.
-_HELD, _ROWS = 2_000_000, 100_000
+_HELD, _ROWS = 1_000_000, 50_000
 _SALTS = 32
 _MOST_BUCKETS = 1 << 18
 
@@ -53,6 +53,8 @@ _KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 
 def _steps(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[Words, np.ndarray, list[str]]]:
     """The words of some texts at a time, the language of each word, and the languages by number."""
+    # Freed memory goes back at once: workers live on between tasks.
+    pa.set_memory_pool(pa.system_memory_pool())
     coded = batch.column("lang").dictionary_encode()
     langs, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
     for found, rows in words_in(batch, _STEP, _KINDS, longest - 1):
