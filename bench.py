@@ -25,6 +25,9 @@ HEADLINE = (
     "running_totals",
     "incremental_update",
     "dynamic_overwrite",
+    "update_from_table",
+    "append_indexed",
+    "upsert_stored",
     "surrogate_key",
     "summary_full",
     "clean_transactions",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts the CSV reader of the original job takes as missing.
@@ -115,3 +115,16 @@ def stamp(c: Column) -> Column:
 def month_of(c: Column) -> Column:
     """The ``yyyy-MM`` partition a date or timestamp belongs to."""
     return F.substring(c.cast("date").cast("string"), 1, 7)
+
+
+# What the source compares without regard to case and trailing blanks, where its collation says so.
+COMPARED_TEXT = ("status", "transaction_type", "merchant_name")
+
+
+def ignoring_case(df: DataFrame, columns=COMPARED_TEXT, collation: str = "UTF8_LCASE_RTRIM") -> DataFrame:
+    """The table with some text columns that compare, group and join by a collation.
+
+    Without it texts compare by their bytes. Groups of texts that count as equal
+    show any one of them.
+    """
+    return df.withColumns({c: F.collate(F.col(c), collation) for c in columns if c in df.columns})

@@ -512,3 +512,21 @@ SELECT {FILLED_SQL} FROM versions QUALIFY row_number() OVER (PARTITION BY transa
   unnest(tokens) AS token FROM split""",
 }
 ORACLES["running_totals_in_chunks"] = ORACLES["running_totals"]
+for name, same in (
+    ("upsert_stored", "upsert_transactions"),
+    ("append_indexed", "append_ignore"),
+    ("update_from_table", "dynamic_overwrite"),
+    ("catalog_daily", "dynamic_overwrite"),
+    ("extract_in_splits", "extract_window"),
+):
+    ORACLES[name] = ORACLES[same]
+_LANDED_COLUMNS = """transaction_uuid, merchant_account_id, merchant_name, mid, amount, refunded_amount, status,
+  transaction_date, transaction_type, updated_at"""
+ORACLES["catalog_load"] = f"""WITH {LOADED} SELECT {_LANDED_COLUMNS} FROM appended
+UNION ALL SELECT {_LANDED_COLUMNS} FROM tx WHERE transaction_date < timestamp '{STORED_BEFORE} 00:00:00'"""
+ORACLES["merchant_export_positions"] = f"""WITH {SOURCES} SELECT row_number() OVER (
+  ORDER BY lower("MerchantGroupName") NULLS FIRST, lower("MerchantAccountName") NULLS FIRST,
+    "MerchantAccountDatabaseID") AS position, "MerchantAccountDatabaseID" FROM listing"""
+ORACLES["daily_aggregates_ignoring_case"] = f"""WITH {TX}, {daily('d', AS_OF)}
+SELECT day, mid, lower(merchant_name) AS merchant_name, {dec4('amount_sum', 'refund_sum', 'void_sum')},
+  amount_count, refund_count, voidcount FROM d"""

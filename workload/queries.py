@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import daybook as db
-from daybook.functions.values import tidy_number
+from daybook.functions.values import COMPARED_TEXT, ignoring_case, tidy_number
 from daybook.operators.metrics import day_grain, first_dates_of, named_days, with_net
 from daybook.operators.running import continue_totals, opening_balances
 from daybook.operators.summary import watermark_row
-from daybook.schemas import MERCHANT_KEY, TRANSACTION_KEY
+from daybook.operators.surrogate import with_positions
+from daybook.schemas import MERCHANT_KEY, TRANSACTION_KEY, create_daily_table, create_transactions_table
+from daybook.sources import catalog
+from daybook.sources.extract import splits_of
 from daybook.sources.files import export_csv
 from daybook.workspace import fresh_path, materialize
 from workload import fixtures as fx
@@ -37,6 +41,11 @@ FILLED = (
     "refunded_amount", "status", "transaction_date", "transaction_type",
     "SourceAccountCreated", "updated_at",
 )
+# Of those, the ones a landed row has as well.
+LOADED = (
+    "transaction_uuid", "merchant_account_id", "merchant_name", "mid", "amount",
+    "refunded_amount", "status", "transaction_date", "transaction_type", "updated_at",
+)
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +181,55 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.read_daily(spark, path).select("id", *REFRESHED)
 
 
+def update_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `dynamic_overwrite`, from a stored table that knows its first dates."""
+    tx = fx.transactions(spark, sf_dir)
+    table, path = fresh_path(spark, "transactions-table"), fresh_path(spark, "daily-table")
+    for rows in (tx.where(F.col("transaction_date") < F.lit(CUT)), tx.where(F.col("transaction_date") >= F.lit(CUT))):
+        db.append_transactions(rows, table)
+    db.rebuild_daily(spark, db.read_transactions(spark, table), path, CUT, RUN)
+    db.update_daily(spark, table, path, RUN)
+    return db.read_daily(spark, path).select("id", *REFRESHED)
+
+
+def _defined(spark: SparkSession, create, *options) -> str:
+    """A new table of the catalog, its files in the workspace."""
+    path = fresh_path(spark, "defined")
+    name = f"defined_{path.rpartition('-')[2]}"
+    create(spark, name, *options, location=path)
+    return name
+
+
+def catalog_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `dynamic_overwrite`, in a table of the catalog."""
+    tx, name = fx.transactions(spark, sf_dir), _defined(spark, create_daily_table)
+    catalog.rebuild_daily_in(spark, tx, name, CUT, RUN)
+    catalog.update_daily_in(spark, tx, name, RUN)
+    return spark.table(name).select("id", *REFRESHED)
+
+
+def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows loaded into a bucketed table of the catalog, which holds older ones."""
+    name = _defined(spark, create_transactions_table, 8)
+    catalog.insert_rows(
+        fx.transactions(spark, sf_dir).where(F.col("transaction_date") < F.lit(STORED_BEFORE)).select(*FILLED), name
+    )
+    catalog.load_into(spark, fx.landed(spark, sf_dir), name)
+    return spark.table(name).select(*LOADED)
+
+
+def daily_aggregates_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day rows where status, type and name differ in case and trailing blanks only."""
+    odd = F.col("transaction_uuid").endswith("1")
+    mixed = {c: F.when(odd, F.concat(F.upper(c), F.lit("  "))).otherwise(F.col(c)) for c in COMPARED_TEXT}
+    rows = db.daily_aggregates(ignoring_case(fx.transactions(spark, sf_dir).withColumns(mixed)), AS_OF)
+    return rows.select(
+        "day", "mid", F.rtrim(F.lower(F.collate("merchant_name", "UTF8_BINARY"))).alias("merchant_name"),
+        *(F.col(c).cast("decimal(18,4)").alias(c) for c in ("amount_sum", "refund_sum", "void_sum")),
+        "amount_count", "refund_count", "voidcount",
+    )
+
+
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = db.daily_aggregates(fx.transactions(spark, sf_dir))
     return db.with_surrogate_key(daily.select("day", "mid", "merchant_name"))
@@ -188,6 +246,11 @@ def merchant_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.merchant_export(*fx.merchant_sources(spark, sf_dir))
 
 
+def merchant_export_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each account in the order the listing really has."""
+    return with_positions(merchant_export(spark, sf_dir)).select("position", MERCHANT_KEY)
+
+
 def clean_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.clean_merchants(fx.landed_merchants(spark, sf_dir))
 
@@ -273,6 +336,15 @@ def ignored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _append(spark, sf_dir)[1].select(TRANSACTION_KEY)
 
 
+def append_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `append_ignore`, with stored keys from the table's index."""
+    tx, path = fx.transactions(spark, sf_dir), fresh_path(spark, "transactions-table")
+    db.append_transactions(tx.where(F.col("transaction_date") < F.lit(STORED_BEFORE)), path)
+    first = db.dedup_first(tx.select(*FILLED), [TRANSACTION_KEY], fx.ROW_ORDER)
+    known = db.stored_keys(spark, path, first).select(TRANSACTION_KEY)
+    return first.join(known, TRANSACTION_KEY, "left_anti")
+
+
 def _loaded(spark: SparkSession, sf_dir: str):
     stored = fx.transactions(spark, sf_dir).where(F.col("transaction_date") < F.lit(STORED_BEFORE))
     return db.load_transactions(fx.landed(spark, sf_dir), stored)
@@ -300,6 +372,13 @@ def extract_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.extract_window(fx.transactions(spark, sf_dir), *WINDOW).select(*FILLED)
 
 
+def extract_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `extract_window`, read in parts of about equal size by account."""
+    tx = fx.transactions(spark, sf_dir)
+    parts = [tx.where(p) for p in splits_of(tx, "merchant_account_id", 4)]
+    return db.extract_window(reduce(DataFrame.unionByName, parts), *WINDOW).select(*FILLED)
+
+
 def extract_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.extract_window(fx.transactions(spark, sf_dir), None, WINDOW[1]).select(*FILLED)
 
@@ -318,7 +397,8 @@ def _land_in_order(spark: SparkSession, sf_dir: str) -> str:
     """Transactions as several CSV files whose names follow the row order."""
     folder = fresh_path(spark, "landing")
     order = (TRANSACTION_KEY, *fx.ROW_ORDER)
-    rows = fx.transactions(spark, sf_dir).repartitionByRange(4, *order).sortWithinPartitions(*order)
+    # All rows of a key in one file, wherever the ranges are cut.
+    rows = fx.transactions(spark, sf_dir).repartitionByRange(4, TRANSACTION_KEY).sortWithinPartitions(*order)
     export_csv(rows, folder, RUN)
     return folder
 
@@ -370,6 +450,17 @@ def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.upsert_latest(tx, stored, TRANSACTION_KEY, "updated_at")
 
 
+def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `upsert_transactions`, in the stored table, by the months its index names."""
+    tx, path = fx.transactions(spark, sf_dir), fresh_path(spark, "transactions-table")
+    stored = db.dedup_first(tx, [TRANSACTION_KEY], fx.ROW_ORDER).where(
+        F.col("transaction_date") < F.lit(STORED_BEFORE)
+    )
+    db.append_transactions(stored, path)
+    db.upsert_transactions(tx, path)
+    return db.read_transactions(spark, path).select(*FILLED)
+
+
 def _ids(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     formatted = db.format_ids(F.col("id_text"), **options).alias("formatted")
     return fx.id_lists(spark, sf_dir).select("list_id", formatted)
@@ -417,7 +508,8 @@ QUERIES = {
         column_profile, control_totals, dedup_first, append_ignore, ignored_keys,
         load_transactions, load_report, constraint_check, extract_window, extract_first_run,
         csv_round_trip, stream_ingest, stream_daily, stream_report, load_control_totals,
-        upsert_transactions, id_list_quoted, id_list_bracketed, id_list_plain,
+        upsert_transactions, upsert_stored, append_indexed, update_from_table, catalog_daily, catalog_load,
+        extract_in_splits, merchant_export_positions, daily_aggregates_ignoring_case, id_list_quoted, id_list_bracketed, id_list_plain,
         id_strip, id_pad, id_strip_and_pad, id_tokens,
     )
 }
