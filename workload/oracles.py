@@ -1,7 +1,8 @@
 """The same results as SQL over the test tables.
 
-Sums and windows are formed otherwise than in the operators, so that a slip in
-one is not repeated in the other.
+Day figures come from a ledger by kind, first dates from ranks, running sums
+from joins with earlier rows: ways that the operators do not take, so that a
+slip in one is not repeated in the other.
 """
 
 from __future__ import annotations
@@ -178,19 +179,6 @@ clean AS (
 OK = "status = 'succeeded'"
 
 
-def day_measures() -> str:
-    parts = ['max("SourceAccountCreated") AS "sourceAccountCreated"']
-    for kind, value, total, count in (
-        ("charge", "amount", "amount_sum", "amount_count"),
-        ("refund", "refunded_amount", "refund_sum", "refund_count"),
-        ("void", "amount", "void_sum", "voidcount"),
-    ):
-        chosen = f"{OK} AND transaction_type = '{kind}'"
-        parts.append(f"coalesce(sum({value}) FILTER (WHERE {chosen}), 0) * 0.01 AS {total}")
-        parts.append(f"cast(count(*) FILTER (WHERE {chosen} AND {value} > 0) AS integer) AS {count}")
-    return ",\n    ".join(parts)
-
-
 def bound(before: object = None, start: object = None) -> str:
     text = "transaction_date IS NOT NULL AND mid IS NOT NULL"
     if before:
@@ -201,30 +189,55 @@ def bound(before: object = None, start: object = None) -> str:
 
 
 def first(name: str, before: object = None, start: object = None) -> str:
+    """The earliest row of each mid, by rank; mids without one stay."""
+
+    def earliest(above: int) -> str:
+        return f"""(SELECT mid, transaction_date FROM tx
+      WHERE {bound(before, start)} AND {OK} AND amount > {above}
+      QUALIFY row_number() OVER (PARTITION BY mid ORDER BY transaction_date) = 1)"""
+
     return f"""{name} AS (
-  SELECT mid,
-    min(transaction_date) FILTER (WHERE {OK} AND amount > 0) AS first_transaction_date,
-    min(transaction_date) FILTER (WHERE {OK} AND amount > 1000) AS first_business_transaction_date
-  FROM tx WHERE {bound(before, start)} GROUP BY mid)"""
+  SELECT m.mid, paid.transaction_date AS first_transaction_date,
+    business.transaction_date AS first_business_transaction_date
+  FROM (SELECT DISTINCT mid FROM tx WHERE {bound(before, start)}) m
+  LEFT JOIN {earliest(0)} paid ON paid.mid = m.mid
+  LEFT JOIN {earliest(1000)} business ON business.mid = m.mid)"""
 
 
 def daily(name: str, before: object = None, start: object = None) -> str:
-    return f"""{name}_sums AS (
-  SELECT cast(transaction_date AS date) AS day, mid, merchant_name, {day_measures()}
-  FROM tx WHERE {bound(before, start)} AND merchant_name IS NOT NULL
-  GROUP BY cast(transaction_date AS date), mid, merchant_name),
+    """A ledger with one entry for each transaction, added up by kind and laid beside the days."""
+    entry = "day, mid, merchant_name"
+    side = lambda kind: f"""LEFT JOIN {name}_kinds {kind} ON {kind}.kind = '{kind}' AND {kind}.day = d.day
+    AND {kind}.mid = d.mid AND {kind}.merchant_name = d.merchant_name"""
+    dollars = lambda kind: f"coalesce({kind}.cents, 0) * 0.01"
+    number = lambda kind: f"coalesce({kind}.n, 0)"
+    return f"""{name}_ledger AS (
+  SELECT cast(transaction_date AS date) AS day, mid, merchant_name, "SourceAccountCreated",
+    CASE WHEN {OK} THEN transaction_type END AS kind,
+    CASE transaction_type WHEN 'refund' THEN refunded_amount ELSE amount END AS cents
+  FROM tx WHERE {bound(before, start)} AND merchant_name IS NOT NULL),
+{name}_kinds AS (
+  SELECT {entry}, kind, sum(cents) AS cents, sum(CASE sign(cents) WHEN 1 THEN 1 ELSE 0 END) AS n
+  FROM {name}_ledger GROUP BY {entry}, kind),
 {name} AS (
-  SELECT *, amount_sum - refund_sum AS total,
-    cast(amount_count + refund_count AS integer) AS totalcount FROM {name}_sums)"""
+  SELECT d.*, {dollars('charge')} AS amount_sum, cast({number('charge')} AS integer) AS amount_count,
+    {dollars('refund')} AS refund_sum, cast({number('refund')} AS integer) AS refund_count,
+    {dollars('void')} AS void_sum, cast({number('void')} AS integer) AS voidcount,
+    (coalesce(charge.cents, 0) - coalesce(refund.cents, 0)) * 0.01 AS total,
+    cast({number('charge')} + {number('refund')} AS integer) AS totalcount
+  FROM (SELECT {entry}, max("SourceAccountCreated") AS "sourceAccountCreated" FROM {name}_ledger GROUP BY {entry}) d
+  {side('charge')} {side('refund')} {side('void')})"""
 
 
 def running(name: str, source: str) -> str:
-    frame = "ORDER BY day, merchant_name ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    """Each row beside all rows of its mid and year that are not later."""
     return f"""{name} AS (
-  SELECT *, sum(total) OVER in_month AS mtd_total, sum(total) OVER in_year AS ytd_total
-  FROM {source}
-  WINDOW in_month AS (PARTITION BY mid, date_trunc('month', day) {frame}),
-    in_year AS (PARTITION BY mid, date_trunc('year', day) {frame}))"""
+  SELECT own.*, sums.mtd_total, sums.ytd_total FROM {source} own JOIN (
+    SELECT a.mid, a.day, a.merchant_name, sum(b.total) AS ytd_total,
+      sum(CASE WHEN month(b.day) = month(a.day) THEN b.total END) AS mtd_total
+    FROM {source} a JOIN {source} b ON b.mid = a.mid AND year(b.day) = year(a.day)
+      AND (b.day < a.day OR b.day = a.day AND b.merchant_name <= a.merchant_name)
+    GROUP BY a.mid, a.day, a.merchant_name) sums USING (mid, day, merchant_name))"""
 
 
 def sunk(name: str, source: str, first_name: str) -> str:
