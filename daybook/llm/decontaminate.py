@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import ascii_lower, column, id_and_text, numbered
+from daybook.llm.rows import ascii_lower, column, id_and_text, numbered, unused
 from daybook.workspace import materialize
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -178,11 +178,12 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of `docs`, all columns, that hold no benchmark window."""
     found = find_contamination(docs, benchmark, id_col, text_col, **options)
+    bad_id, bad_md5 = (unused(c, docs.columns) for c in ("_bad_id", "_bad_md5"))
     bad = found.where(F.size("hit_words") > 0).select(
-        F.col("doc_id").alias("__bad_id"), F.col("text_md5").alias("__bad_md5")
+        F.col("doc_id").alias(bad_id), F.col("text_md5").alias(bad_md5)
     ).distinct()
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    same = column(id_col).eqNullSafe(F.col("__bad_id")) & (F.md5(text) == F.col("__bad_md5"))
+    same = column(id_col).eqNullSafe(F.col(bad_id)) & (F.md5(text) == F.col(bad_md5))
     return docs.join(bad, same, "left_anti")
 
 

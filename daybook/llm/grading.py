@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.rows import column, id_and_text, slices
+from daybook.llm.rows import column, id_and_text, slices, unused
 from daybook.workspace import materialize
 
 FEATURES = 1 << 18
@@ -243,14 +243,14 @@ def train(
 
 
 def score(rows: DataFrame, model: Model, wanted: int, keep: list[str], text: str) -> DataFrame:
-    """`keep` plus `expected_grade` and `tail` = P(grade >= wanted), row by row.
+    """`keep` plus the expected grade and the tail P(grade >= wanted), row by row.
 
-    Without anything learned the tail is 1.
+    They are called `_grade` and `_tail`, or as `unused` says. Without anything
+    learned the tail is 1.
     """
     held = rows.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType(
-        [*(rows.schema[c] for c in keep), T.StructField("__grade", T.DoubleType()), T.StructField("__tail", T.DoubleType())]
-    )
+    made = [T.StructField(unused(c, keep), T.DoubleType()) for c in ("_grade", "_tail")]
+    schema = T.StructType([*(rows.schema[c] for c in keep), *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -264,7 +264,7 @@ def score(rows: DataFrame, model: Model, wanted: int, keep: list[str], text: str
                 grade, tail = tails.sum(axis=1), tails[:, wanted - 1]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.names.index(c)) for c in keep), pa.array(grade), pa.array(tail)],
-                names=[*keep, "__grade", "__tail"],
+                names=schema.names,
             )
 
     columns = keep if text in keep else [*keep, text]
@@ -296,9 +296,9 @@ def grade(
     model = train(rows, ratings, grades, max_rated)
     return score(rows, model, wanted, ["doc_id"], "text").select(
         "doc_id",
-        F.col("__grade").alias("expected_grade"),
-        F.col("__tail").alias("tail"),
-        (F.col("__tail") >= min_tail).alias("kept"),
+        F.col("_grade").alias("expected_grade"),
+        F.col("_tail").alias("tail"),
+        (F.col("_tail") >= min_tail).alias("kept"),
     )
 
 
@@ -315,4 +315,4 @@ def keep_good(
     """The rows of `docs`, all columns, that the model does not reject."""
     model = train(id_and_text(docs, id_col, text_col), ratings, grades, max_rated)
     scored = score(docs, model, wanted, list(docs.columns), text_col)
-    return scored.where(F.col("__tail") >= min_tail).select(*(column(c) for c in docs.columns))
+    return scored.where(F.col(unused("_tail", docs.columns)) >= min_tail).select(*(column(c) for c in docs.columns))

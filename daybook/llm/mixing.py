@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import SPACE, column, numbered
+from daybook.llm.rows import SPACE, column, numbered, unused
 from daybook.operators.surrogate import with_surrogate_key
 from daybook.workspace import materialize
 
@@ -197,16 +197,20 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
     one stands for all, as nothing tells them apart, with all their copies.
     """
     mixed = mix(docs, id_col, text_col, **options)
-    due = mixed.where("size > 0").groupBy("doc_id", "text_md5").agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__rows")
+    own_id, md5, copies, rows = (unused(c, docs.columns) for c in ("_id", "_md5", "_copies", "_rows"))
+    due = (
+        mixed.where("size > 0")
+        .groupBy(F.col("doc_id").alias(own_id), F.col("text_md5").alias(md5))
+        .agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+        .where(F.col(copies) > 0)
     )
-    due = due.where("__copies > 0").withColumnsRenamed({"doc_id": "__id", "text_md5": "__md5"})
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    same = column(id_col).eqNullSafe(F.col("__id")) & (F.md5(text) == F.col("__md5"))
+    same = column(id_col).eqNullSafe(F.col(own_id)) & (F.md5(text) == F.col(md5))
     joined = docs.join(due, same)
-    out = joined.where("__rows = 1").unionByName(
-        joined.where("__rows > 1").dropDuplicates([id_col, text_col])
+    out = joined.where(F.col(rows) == 1).unionByName(
+        joined.where(F.col(rows) > 1).dropDuplicates([id_col, text_col])
     )
-    repeat = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
-    return out.select(*(column(c) for c in docs.columns), repeat.alias("__copy")).drop("__copy")
+    copy = unused("_copy", docs.columns)
+    repeat = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
+    return out.select(*(column(c) for c in docs.columns), repeat.alias(copy)).drop(copy)
 

@@ -24,6 +24,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(name: str, taken: Sequence[str]) -> str:
+    """The name, or one like it that none of the columns `taken` has."""
+    there = {t.lower() for t in taken}
+    while name.lower() in there:
+        name += "_"
+    return name
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, **more: str) -> DataFrame:
     """`doc_id`, `text` (null: empty) and the columns of `more` under their keys.
 

@@ -152,7 +152,8 @@ def shard(
             F.crc32(text).alias("text_crc32"),
             F.md5(text).alias("text_md5"),
             F.xxhash64(column(id_col), text).alias("order"),
-            *(column(c) for c in keep),
+            # In one column, so that no name clashes with those made here.
+            *([F.struct(*(column(c) for c in keep)).alias("kept")] if keep else []),
         ),
         "slim",
     )
@@ -194,7 +195,7 @@ def shard(
     )
     return (
         slim.join(settled.unionByName(filled), "row_id")
-        .select("doc_id", "size", "text_crc32", "text_md5", F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), *(column(c) for c in keep))
+        .select("doc_id", "size", "text_crc32", "text_md5", F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), *(F.col("kept")[c].alias(c) for c in keep))
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.components import components
-from daybook.llm.rows import column, id_and_text, map_text, numbered
+from daybook.llm.rows import column, id_and_text, map_text, numbered, unused
 from daybook.workspace import materialize
 
 HASH_SEED = 42
@@ -220,15 +220,16 @@ def keep_one_of_each(
     """
     found = materialize(find_near_duplicates(docs, id_col, text_col, shingle, max_bits), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
+    kept_id, kept_md5 = (unused(c, docs.columns) for c in ("_kept_id", "_kept_md5"))
     kept = found.groupBy("root").agg(F.min(order).alias("k")).select(
-        F.col("k.doc_id").alias("__kept_id"), F.col("k.text_md5").alias("__kept_md5")
+        F.col("k.doc_id").alias(kept_id), F.col("k.text_md5").alias(kept_md5)
     )
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    same = column(id_col).eqNullSafe(F.col("__kept_id")) & (F.md5(text) == F.col("__kept_md5"))
+    same = column(id_col).eqNullSafe(F.col(kept_id)) & (F.md5(text) == F.col(kept_md5))
     rows = docs.join(kept, same, "left_semi")
     twice = (
         found.groupBy("doc_id", "text_md5").agg(F.count("*").alias("n")).where("n > 1")
-        .select(F.col("doc_id").alias("__kept_id"), F.col("text_md5").alias("__kept_md5"))
+        .select(F.col("doc_id").alias(kept_id), F.col("text_md5").alias(kept_md5))
     )
     once = rows.join(twice, same, "left_anti")
     more = rows.join(twice, same, "left_semi").dropDuplicates([id_col, text_col])

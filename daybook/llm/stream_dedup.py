@@ -15,11 +15,13 @@ Only built-in functions are used.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.llm.rows import SPACE, column
 from daybook.workspace import fresh_path, materialize
@@ -135,12 +137,14 @@ def deduplicate(
     """
     table = table or fresh_path(spark, "dedup-entries")
     state_dir = state_dir or fresh_path(spark, "dedup-state")
-    docs = spark.read.parquet(path)
+    # A path is no pattern, whatever characters it has.
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", path.rstrip("/"))
+    # Only these columns: no other one can hide the place of a row in its file.
+    wanted = T.StructType([f for f in spark.read.parquet(literal).schema if f.name in (id_col, text_col)])
+    docs = spark.read.schema(wanted).parquet(literal)
     # As a pattern the path may be a folder or a single file.
-    pattern = f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"
-    stream = (
-        spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
-    )
+    pattern = literal if literal != path.rstrip("/") else f"{literal[:-1]}[{literal[-1]}]"
+    stream = spark.readStream.schema(wanted).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
     located = _located(docs, id_col, text_col, digest)
     like = located.select(
         "digest", F.col("place").alias("keep"), F.lit(0).cast("long").alias("rows"), F.lit(0).alias("batch")

@@ -89,3 +89,38 @@ def test_slices_cover_a_batch_in_order():
     assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(len(texts)))
     assert len(parts) > 3 and max(sum(len(t or "") for t in p.column("text").to_pylist()) for p in parts) < 70
     assert list(slices(batch.slice(0, 0), "text", 10)) == []
+
+
+def test_scores_written_down_text_by_text(spark):
+    import math
+    import zlib
+
+    from daybook.llm import grading as G
+
+    rows = [(n, t) for n, t in enumerate(["good clear words here", "bad BAD 99!! bad", "", None, "Good  Words\there", "x" * 50_000])]
+    model = G.Model(np.random.default_rng(3).normal(size=G.FEATURES), np.array([-0.4, 0.7]))
+
+    def hashed(kind, value):
+        return zlib.crc32(kind.encode() + value) % G.FEATURES
+
+    def shape(word):
+        out = ""
+        for b in word:
+            c = "a" if 97 <= b <= 122 else "A" if 65 <= b <= 90 else "0" if 48 <= b <= 57 else "x" if b >= 128 else chr(b)
+            out += c if out[-1:] != c else ""
+        return out[:8].encode("latin-1")
+
+    def plain(text):
+        words = (text or "").encode().split()
+        features = {hashed("w", w.lower()) for w in words} | {hashed("b", w.lower()[:5]) for w in words}
+        features |= {hashed("s", shape(w)) for w in words}
+        n, d = len(words), len(set(words))
+        features.add(hashed("r", f"{n.bit_length()}:{round(8 * d / n)}".encode() if n else b"empty"))
+        total = sum(model.weights[f] for f in features) / math.sqrt(len(features))
+        tails = [1 / (1 + math.exp(t - total)) for t in model.thresholds]
+        return sum(tails), tails[1]
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r[0]: r[1:] for r in G.score(docs, model, 2, ["doc_id"], "text").collect()}
+    for n, text in rows:
+        assert tuple(out[n]) == pytest.approx(plain(text), rel=1e-9)

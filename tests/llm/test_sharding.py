@@ -77,3 +77,28 @@ def test_ranks_are_gapless_over_buckets(spark):
         found = ranked(rows, "g", bucket).groupBy("g").agg(F.sort_array(F.collect_list("rank")).alias("r"))
         assert all(r.r == list(range(len(r.r))) for r in found.collect())
         assert sorted(r["rank"] for r in ranked(rows, None, bucket).collect()) == list(range(1000))
+
+
+def test_sizes_sums_and_cuts_written_down(spark):
+    import zlib
+    from collections import Counter, defaultdict
+
+    texts = [None, "", "é" * 3, "same", "same", "same", "other", "other", *(f"t{n}" for n in range(60))]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    assigned = shard(docs, 7)
+    rows = assigned.collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {
+        n: (len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for n, t in enumerate(texts)
+    }
+    places = defaultdict(list)
+    for r in rows:
+        places[r.shard].append(r.slot)
+    assert all(sorted(slots) == list(range(len(slots))) for slots in places.values())
+    assert max(map(len, places.values())) - min(map(len, places.values())) <= 1
+    homes = defaultdict(Counter)
+    for r in rows:
+        homes[texts[r.doc_id] or ""][r.shard] += 1
+    groups = [c for c in homes.values() if sum(c.values()) > 1]
+    cut = cut_share(assigned).first()
+    assert cut.linked == sum(sum(c.values()) for c in groups) == 7
+    assert cut.apart == sum(sum(c.values()) - max(c.values()) for c in groups)
