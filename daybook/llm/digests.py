@@ -12,6 +12,11 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
+def scored(spans: Column) -> Column:
+    """The score of each span in the given order, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: s["score"].cast("string")), ",")
+
+
 def base_digest(spans: Column) -> Column:
     """Lower-case SHA-256 over the base spans."""
     return F.sha2(listed(F.filter(spans, lambda s: s["base"])), 256)

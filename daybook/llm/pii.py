@@ -67,7 +67,18 @@ _DOTTED = re.compile(r"[0-9][0-9.]+[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}(?= ?[A-Z0-9])")
+# Characters of an international account number, by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22,
+    "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25,
+    "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 
 
@@ -116,6 +127,29 @@ def _ips(text: str) -> Iterator[tuple[int, int]]:
                 yield run.start() + m.start(), run.start() + m.end()
 
 
+def _iban_end(text: str, head: re.Match) -> int | None:
+    """Where an account number ends that begins with a country and its check digits.
+
+    It has as many characters as its country says, single blanks between them,
+    none of which follows; and its check passes.
+    """
+    length = IBAN_LENGTHS.get(head[1], 0)
+    plain, at = [], head.start()
+    while len(plain) < length and at < len(text):
+        c = text[at]
+        if c == " " and text[at - 1] != " ":
+            pass
+        elif "0" <= c <= "9" or "A" <= c <= "Z":
+            plain.append(c)
+        else:
+            return None
+        at += 1
+    follows = text[at : at + 1]
+    if not length or len(plain) < length or follows.isascii() and follows.isalnum():
+        return None
+    return at if mod97("".join(plain)) else None
+
+
 def _propose(text: str) -> Iterator[tuple[str, int, int]]:
     """Spans of every kind whose own check passes, by kind."""
     if "@" in text:
@@ -144,11 +178,12 @@ def _propose(text: str) -> Iterator[tuple[str, int, int]]:
         for start, end in _ips(text):
             yield "ip", start, end
     if dotted:
+        done = 0
         for m in _IBAN.finditer(text):
-            before = text[m.start() - 1] if m.start() else " "
-            plain = m.group().replace(" ", "")
-            if not before.isalnum() and len(plain) <= 34 and mod97(plain):
-                yield "iban", *m.span()
+            end = _iban_end(text, m) if m.start() >= done else None
+            if end is not None:
+                yield "iban", m.start(), end
+                done = end
 
 
 def scan(text: str, min_score: float = MIN_SCORE) -> list[tuple]:

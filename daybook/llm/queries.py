@@ -9,7 +9,7 @@ from daybook.llm.collocations import mine_collocations
 from daybook.llm.conversations import damage, repair
 from daybook.llm.conversations_sql import REPAIR_SQL
 from daybook.llm.decontaminate import find_contamination
-from daybook.llm.digests import base_digest, count_of, listed
+from daybook.llm.digests import base_digest, count_of, listed, scored
 from daybook.llm.grading import grade, grades_of
 from daybook.llm.lattice import read_vocabulary, score_documents
 from daybook.llm.mixing import mix
@@ -76,6 +76,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(count_of(spans, kind).alias(f"n_{kind}") for kind in PII_KINDS),
         base_digest(spans).alias("base_sha256"),
         listed(spans).alias("spans"),
+        scored(spans).alias("scores"),
     )
 
 

@@ -71,3 +71,17 @@ def test_rows_nulls_clashing_columns_and_mask(spark):
     both = find_pii(docs).withColumn("t", F.lit("mail me@x.org now"))
     masked = {r.m for r in both.where("doc_id = 1").select(mask_pii(F.col("t"), F.col("pii")).alias("m")).collect()}
     assert masked == {"mail [email] now"}
+
+
+def test_account_numbers_have_the_length_of_their_country():
+    def found(text):
+        return [text[s[1] : s[2]] for s in scan(text) if s[0] == "iban"]
+
+    number = "DE89 3704 0044 0532 0130 00"
+    assert found(f"IBAN {number} BIC COBADEFFXXX") == [number]
+    assert found("account GB29 NWBK 6016 1331 9268 19 THANKS") == ["GB29 NWBK 6016 1331 9268 19"]
+    assert found("iban GB29NWBK60161331926819, bank") == ["GB29NWBK60161331926819"]
+    for wrong in ("DE89 3704 0044 0532 0130 01", "DE89  3704 0044 0532 0130 00", "XX89 3704 0044 0532 0130 00", "DE89 3704"):
+        assert found(f"IBAN {wrong} bank") == []
+    assert found(f"IBAN {number}7 bank") == [] and found(f"IBAN x{number} bank") == []
+    scan("IBAN " + "DE89 " * 100_000)
