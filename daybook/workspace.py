@@ -8,6 +8,7 @@ because the folder is shared storage.
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import threading
@@ -36,7 +37,8 @@ def workspace(spark: SparkSession) -> str:
     if base:
         app = spark.conf.get("spark.app.id", "application")
         return f"{base.rstrip('/')}/daybook/{app}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # Executors of a local cluster are processes of their own.
+    if re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")) is None:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     app = spark.conf.get("spark.app.id", "application")
     if app not in _local_folders:
