@@ -55,8 +55,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", sharding),
 ]
 
-# The classifier and the random rounding have no SQL form; the tests hold each
-# stage against a plain version.
+# The classifier and the random rounding have no SQL form; the tests hold every
+# stage against what it has to keep.
 ORACLE_SQL: str | None = None
 
 
