@@ -21,6 +21,7 @@ more.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -45,15 +46,19 @@ _CACHED_PIECES = 1_000_000
 _TOGETHER = 8 << 20
 # New pieces that go through the tokenizer in one text.
 _ENCODED_TOGETHER = 2_000
+_LETTER, _SIGN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_SIGN[list(b',.;:!?)("')] = True
 # First bytes of the characters that are white space beyond ASCII.
 _SPACE_LEADS = np.array([0xC2, 0xE1, 0xE2, 0xE3], dtype=np.uint8)
 
 
 def _cuts(data: np.ndarray) -> np.ndarray:
-    """Whether a text may be cut before a byte: single line feeds are cut out, single blanks lead what follows.
+    """Whether a text may be cut before a byte.
 
-    Both only between other characters;
-    one that may be white space beyond ASCII never counts as such.
+    Single line feeds are cut out and single blanks lead what follows, both
+    only between other characters; one that may be white space beyond ASCII
+    never counts as such. Signs are cut from the letters before them.
     """
     n = len(data)
     solid = data > 0x20
@@ -68,6 +73,7 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     cut = joint & (data <= 0x20)
     cut &= (data == 0x20) | (data == 0x0A)
     cut[1:] |= cut[:-1] & (data[:-1] == 0x0A)
+    cut[1:] |= _LETTER[data[:-1]] & _SIGN[data[1:]]
     return cut
 
 
@@ -88,6 +94,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        before = rules["pre_tokenizer"] or {}
+        # Only these rules are known to cut a text at the places of `_cuts`.
+        self.cuttable = rules["normalizer"] is None and before.get("type") == "ByteLevel" and (
+            before.get("use_regex", True) and not before.get("add_prefix_space", True)
+        )
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -95,7 +107,9 @@ class Encoder:
         self.names = [t.content for t in added]
         self.odd = [t.content.encode() for t in added if not plain(t) or len(t.content.split()) != 1]
         self.known: dict[bytes, bytes] = {}
-        (self.line_feed,) = self._ids("\n")
+        feed = self._ids("\n")
+        self.cuttable = self.cuttable and len(feed) == 1
+        self.line_feed = feed[0]
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -171,7 +185,7 @@ class Encoder:
         for i, d in enumerate(data):
             if not d:
                 out[i] = np.zeros(0, dtype=self.kind)
-            elif any(name in d for name in self.odd):
+            elif not self.cuttable or any(name in d for name in self.odd):
                 out[i] = np.array(self._ids(texts[i]), dtype=self.kind)
             elif len(d) > _TOGETHER:
                 out[i] = self._long(np.frombuffer(d, dtype=np.uint8))

@@ -29,7 +29,7 @@ def plain(library, text):
 
 
 PARTS = [
-    "a", "Word", "don't", "é", "à", "12", "..", "\n", " ", "  ", "\t", "\x1c", "\x85", "\xa0", "\u2003", "　", "\u2028", "\r\n", "'s",
+    "a", "Word", "don't", ",", ".", "?)", '("', ":'s", "'ll", "é,", "é", "à", "12", "..", "\n", " ", "  ", "\t", "\x1c", "\x85", "\xa0", "\u2003", "　", "\u2028", "\r\n", "'s",
     "<|endoftext|>", "<|endof", "漢字", "€", "𝄞", "\u2060", "x" * 60,
 ]
 
@@ -56,6 +56,16 @@ def test_names_that_reach_over_blanks(tmp_path):
     assert [f.tolist() for f in coder.encode(texts)] == [plain(odd, t) for t in texts]
 
 
+def test_a_tokenizer_with_other_rules_is_not_cut_for(tmp_path):
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    other = Tokenizer.from_file(PATH)
+    other.pre_tokenizer = ByteLevel(add_prefix_space=True, use_regex=False)
+    other.save(str(tmp_path / "other.json"))
+    texts = ["one two, three\nfour", " a", "b.c d"]
+    assert [f.tolist() for f in Encoder(str(tmp_path / "other.json")).encode(texts)] == [plain(other, t) for t in texts]
+
+
 def test_cache_is_bounded(library, monkeypatch):
     monkeypatch.setattr("daybook.llm.token_files._CACHED_PIECES", 5)
     small = Encoder(PATH)
