@@ -206,10 +206,13 @@ def replace_months(daily: DataFrame, path: str) -> None:
     if not fresh:
         return
     now = last_commit(spark, path)
-    if now is None and (plain := _plain(spark, path, _partitioned(DAILY_METRICS))) is not None:
-        _store_months(plain, path, None, {}, {})
-        now = last_commit(spark, path)
-    stored = dict(now.facts["months"]) if now else {}
+    if now is None or "months" not in now.facts:
+        # Not written by month here: the rows are taken over first.
+        rows = _read(spark, path, _partitioned(DAILY_METRICS))
+        if rows is not None:
+            _store_months(rows, path, now, {}, {})
+            now = last_commit(spark, path)
+    stored = dict(now.facts.get("months", {})) if now else {}
     left = {m for m in stored if m != NO_MONTH and m >= min(fresh)} - fresh
     if left:
         raise EmptiedMonthError(f"no rows for stored months {sorted(left)}")

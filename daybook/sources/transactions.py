@@ -124,6 +124,9 @@ def append_transactions(rows: DataFrame, path: str) -> None:
     spark = rows.sparkSession
     now = _adopted(spark, path)
     added = _added(spark, rows, path)
+    if now and now.of(ROWS) and not now.of(FIRST):
+        # They are unknown since an upsert; those of the new rows alone would pass for all.
+        added = {f: known for f, known in added.items() if not f.startswith(f"{FIRST}/")}
     if added:
         folders = _merged(spark, path, {**(now.folders if now else {}), **added})
         commit(spark, path, now, folders, {})

@@ -226,6 +226,19 @@ def test_upsert_rewrites_only_the_months_of_its_keys(spark, make_tx, tmp_path):
     assert len(last_commit(spark, path).of("first")) == 1
     assert db.upsert_transactions(make_tx({"transaction_uuid": "z"}), path) == []
     assert db.read_transactions(spark, path).count() == 7
+    db.upsert_transactions(make_tx({"transaction_uuid": "k1", "transaction_date": "2025-01-01 00:00:00", "updated_at": "2025-01-01 00:00:00"}), path)
+    db.append_transactions(make_tx({"transaction_uuid": "late", "transaction_date": "2026-01-01 00:00:00"}), path)
+    assert not last_commit(spark, path).of("first")
+    assert sorted(db.read_first_dates(spark, path).collect()) == sorted(db.first_dates(db.read_transactions(spark, path)).collect())
+
+
+def test_a_daily_table_put_in_place_as_a_whole_can_be_updated(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    rows = metrics.with_month(daily_rows(spark, (1, "2024-01-02", "1"), (4, "2024-02-02", "1")))
+    db.replace_table(rows, path, ("month",))
+    assert db.daily_facts(spark, path).top_id == 4
+    db.replace_months(daily_rows(spark, (5, "2024-02-03", "1")), path)
+    assert sorted(r.id for r in db.read_daily(spark, path).collect()) == [1, 5]
 
 
 def test_either_condition_skips_files_of_the_daily_table(spark, tmp_path):
