@@ -177,3 +177,9 @@ def test_headers_of_any_number_of_files_take_the_same_jobs(spark, tmp_path):
         assert len(headers) == n and {len(h) for h in headers.values()} == {9, 10}
     assert jobs[40] == jobs[160] <= 6
     assert read_headers(spark, []) == {}
+
+
+def test_landed_files_grow_in_number_not_in_size():
+    from workload.queries import files_for
+
+    assert [files_for(n, 4) for n in (0, 10, 2_000_000, 216_000_000)] == [4, 4, 4, 432]
