@@ -123,6 +123,40 @@ def test_stored_key_wins_over_newer_version(spark, make_tx):
     assert [r.transaction_uuid for r in result.ignored.collect()] == ["a"]
 
 
+def test_whole_rows_are_dealt_once(spark):
+    from daybook.operators.dedup import known_keys
+    from daybook.plans.load import _decided
+
+    cleaned = materialize(db.clean_transactions(raw(spark, {"transaction_uuid": "a"}, {"transaction_uuid": None})), "cleaned")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = known_keys(cleaned, none_stored(spark), "transaction_uuid")
+        text = _decided(cleaned, known, False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # What moves whole rows is the one that deals them by key; no task sorts them before.
+    assert "SortAggregate" not in text
+    left = text.split("SortMergeJoin", 1)[1].split("HashAggregate", 1)[0]
+    assert left.count("Exchange hashpartitioning") - left.count("ENSURE_REQUIREMENTS") == 1
+    assert "WindowGroupLimit" not in text and text.count("REPARTITION_BY_COL") == 1
+
+
+def test_hot_and_plain_loads_decide_alike(spark, make_tx):
+    rows = raw(
+        spark,
+        *({"transaction_uuid": k, "file": f, "amount": a}
+          for f in ("f2", "f1", "f3") for k, a in (("a", "1"), ("a", "2"), ("b", "1.5"), ("b", "3"), ("s", "7"), (None, "1"), (f, "4"))),
+    )
+    stored = make_tx({"transaction_uuid": "s"}, {"transaction_uuid": "s"}, {"transaction_uuid": "other"})
+    seen = []
+    for hot_rows in (0, 1_000_000):
+        result = db.load_transactions(rows, stored, hot_rows=hot_rows)
+        parts = (result.to_append, result.ignored, result.rejected, result.totals, result.report)
+        seen.append([(sorted(p.columns), sorted(map(str, p.select(*sorted(p.columns)).collect()))) for p in parts])
+    assert seen[0] == seen[1]
+    assert [len(p[1]) for p in seen[1]] == [4, 5, 6, 3, 3]
+
+
 def test_rows_without_key_are_all_rejected(spark):
     rows = raw(spark, *({"transaction_uuid": None} for _ in range(5)))
     result = db.load_transactions(rows, none_stored(spark))
