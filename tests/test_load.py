@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import daybook as db
+from daybook.operators.dedup import has_hot_key
 from daybook.schemas import MERCHANTS, TRANSACTIONS
 from daybook.sources.extract import FAILURE
 from daybook.functions.values import has_fraction, to_whole
@@ -175,6 +176,21 @@ def test_hot_key_leaves_one_candidate_per_task(spark):
     assert (hot["at"], hot["copies"], first.count()) == (0, 3000, 6001)
 
 
+def test_without_a_hot_key_rows_are_sorted_after_the_shuffle_only(spark):
+    rows = spark.range(600).selectExpr(
+        "CASE WHEN id % 7 > 0 THEN cast(id % 50 AS string) END AS k", "cast(id % 3 AS int) AS at", "id % 11 AS x", "id AS y"
+    )
+    rows = rows.unionByName(rows.where("y < 90"))
+    slow, fast = (db.dedup_first(rows, ["k"], ["at", "x", "y"], "copies", hot=hot) for hot in (True, False))
+    text = fast._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("Exchange") :]
+    assert text.count("Exchange") == 1 and "Sort" not in below and "partial" not in below
+    assert fast.columns == slow.columns and sorted(map(repr, fast.collect())) == sorted(map(repr, slow.collect()))
+    assert has_hot_key(rows.selectExpr("'a' AS k"), "k", 600) and not has_hot_key(rows, "k", 600)
+    assert not has_hot_key(rows.selectExpr("cast(NULL AS string) AS k"), "k", 1)
+    assert not has_hot_key(rows.limit(0), "k", 0)
+
+
 def test_control_totals_ignore_status_and_count_untyped_as_not_void(spark):
     rows = raw(
         spark,

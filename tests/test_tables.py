@@ -1,9 +1,11 @@
 """Stored tables: commits, key index, first dates, merges, upserts, layout."""
 
+import re
 from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import daybook as db
 from daybook.operators import metrics
@@ -232,6 +234,54 @@ def test_upsert_rewrites_only_the_months_of_its_keys(spark, make_tx, tmp_path):
     assert sorted(db.read_first_dates(spark, path).collect()) == sorted(db.first_dates(db.read_transactions(spark, path)).collect())
 
 
+@pytest.mark.parametrize("case", ["marks", "repeated", "hot"])
+def test_upsert_stores_what_whole_rows_decide(spark, make_tx, tmp_path, monkeypatch, case):
+    """Marks of replaced rows give the same table as comparing whole rows."""
+    def row(n, key, month, version, amount):
+        date = month and f"2024-{month:02d}-0{1 + n % 9} 00:00:00"
+        stamp = version and f"2024-{version:02d}-01 00:00:00"
+        return {"transaction_uuid": key, "transaction_date": date, "updated_at": stamp, "amount": amount}
+
+    old = [row(n, f"k{n}", 1 + n % 5 if n % 6 else None, 6 if n % 4 else None, n) for n in range(20)]
+    old += [{**row(0, None, 2, 6, 1)}, row(1, "apart", 9, 6, 1)]
+    if case == "repeated":
+        old += [row(7, "k1", 3, 7, 70), row(7, "k2", 3, 6, 1), row(7, "apart", 9, 6, 2), row(3, "twice", 1, 1, 1), row(4, "twice", 1, 1, 2)]
+    new = [row(n + n % 2, f"k{n}", 1 + n % 4, [None, 5, 6, 7][n % 4], 100 + n) for n in range(4, 24)]
+    new += [row(n, f"k{n % 25}", 1 + n % 3, [None, 6, 8][n % 3], 200 + n) for n in range(0, 50, 3)]
+    new += [row(1, None, 2, 9, 5)]
+    path = str(tmp_path / "tx")
+    db.append_transactions(make_tx(*old), path)
+    if case == "hot":
+        monkeypatch.setattr(transactions, "has_hot_key", lambda rows, key: True)
+    before = db.read_transactions(spark, path)
+    names = [c for c in before.columns if c != "month"]
+    wide = spark.createDataFrame(before.collect(), before.schema)
+    touched = db.upsert_transactions(make_tx(*new), path)
+    inside = F.coalesce("month", F.lit("")).isin(touched)
+    expected = db.upsert_latest(make_tx(*new), wide.where(inside).select(*names), TRANSACTION_KEY, "updated_at")
+    expected = expected.unionByName(wide.where(~inside).select(*names))
+    got = db.read_transactions(spark, path)
+    assert sorted(map(repr, got.select(*names).collect())) == sorted(map(repr, expected.collect()))
+    places = got.where("transaction_uuid IS NOT NULL").select(TRANSACTION_KEY, "month")
+    index = db.stored_keys(spark, path, places).select(TRANSACTION_KEY, "month")
+    assert places.subtract(index).isEmpty()
+    if case != "repeated":
+        assert index.count() == index.distinct().count()
+
+
+def test_upsert_shuffles_stored_rows_by_key_without_their_columns(spark, make_tx, tmp_path):
+    path = str(tmp_path / "stored")
+    make_tx({"transaction_uuid": "a"}, {"transaction_uuid": "b"}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    decided = transactions._replacing(make_tx({"transaction_uuid": "a", "updated_at": "2030-01-01 00:00:00"}), stored, "updated_at")
+    text = decided._jdf.queryExecution().executedPlan().toString()
+    read = re.search(r"ReadSchema: struct<([^>]*)>", text)[1]
+    assert sorted(c.partition(":")[0] for c in read.split(",")) == ["transaction_date", TRANSACTION_KEY, "updated_at"]
+    below = text[text.index("Exchange") :]
+    assert text.count("Exchange") == 1 and "Sort" not in below
+    assert [r["_origin"] for r in decided.orderBy("_origin").collect()] == [0, 2]
+
+
 def test_a_daily_table_put_in_place_as_a_whole_can_be_updated(spark, tmp_path):
     path = str(tmp_path / "daily")
     rows = metrics.with_month(daily_rows(spark, (1, "2024-01-02", "1"), (4, "2024-02-02", "1")))
