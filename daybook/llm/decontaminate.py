@@ -132,7 +132,8 @@ def find_contamination(
         marked = stored.join(chosen, "row_id", "left").withColumn("words", F.when(F.col("chosen"), F.col("words"))).drop("chosen")
 
     candidates = marked.where(F.col("words").isNotNull()).select("row_id", "words")
-    held = F.broadcast(windows) if sum(r.b for r in sizes) <= max_window_bytes else windows
+    # Beyond the bound no side goes to every task, however small its files are.
+    held = F.broadcast(windows) if sum(r.b for r in sizes) <= max_window_bytes else windows.hint("merge")
     hits = None
     for m in sorted(r.m for r in sizes):
         every_window = F.transform(

@@ -166,7 +166,9 @@ def links(fps: DataFrame, max_bits: int = 2, paired_up_to: int = PAIRED_UP_TO) -
         .where((F.col("n") > 1) & (exact | (F.col("s0") != F.col("s1"))))
         .select("kind", "key", "n")
     )
-    met = materialize(entries.join(counts, ["kind", "key"]), "variants")
+    # Both sides are shuffled: Spark sizes them by the fingerprints' files, which
+    # know nothing of the variants, and would send all entries to every task.
+    met = materialize(entries.hint("merge").join(counts, ["kind", "key"]), "variants")
     few = met.where(F.col("n") <= paired_up_to)
     a = few.select("kind", "key", F.col("fp").alias("a"), F.col("side").alias("side_a"))
     b = few.select("kind", "key", F.col("fp").alias("b"), F.col("side").alias("side_b"))

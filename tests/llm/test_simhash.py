@@ -2,10 +2,12 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.components import components
 from daybook.llm.simhash import find_near_duplicates, fingerprint, keep_one_of_each, links
+from daybook.workspace import materialize
 
 FP = T.StructType([T.StructField("fp", T.LongType())])
 
@@ -110,3 +112,20 @@ def test_one_of_each_group_stays_with_all_its_columns(spark):
     by_id = [r.doc_id for r in kept.collect()]
     assert set(by_id) == {r.component_id for r in found} and len(by_id) == len(set(by_id))
     assert keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_variants_are_not_sent_to_every_task(spark, monkeypatch):
+    # Any number of fingerprints will do: their files are small beside the variants.
+    fps = materialize(spark.range(2_000).select(F.xxhash64("id").alias("fp")), "distinct")
+    stored = {}
+
+    def keep(df, label):
+        stored[label] = df
+        return materialize(df, label)
+
+    monkeypatch.setattr("daybook.llm.simhash.materialize", keep)
+    links(fps, 2).collect()
+    met = stored["variants"]
+    met.collect()
+    plan = met._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
