@@ -5,9 +5,12 @@ import os
 from datetime import date
 from pathlib import Path
 
+import pytest
+
 import daybook as db
+from daybook.sources.commits import write_folder
 from daybook.sources.files import list_files, read_headers
-from daybook.workspace import fresh_path, workspace
+from daybook.workspace import fresh_path, materialize, workspace
 
 HEADER = "transaction_uuid,merchant_account_id,merchant_name,mid,amount,refunded_amount,status,transaction_type,transaction_date"
 
@@ -183,3 +186,38 @@ def test_landed_files_grow_in_number_not_in_size():
     from workload.queries import files_for
 
     assert [files_for(n, 4) for n in (0, 10, 2_000_000, 216_000_000)] == [4, 4, 4, 432]
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in manager.getAllBlocks().mkString(",").split(",") if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("step", ["intermediate", "folder", "export"])
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path, step):
+    rows, there = spark.range(1000).repartition(4, "id"), shuffle_files(spark)
+    if step == "intermediate":
+        materialize(rows, "rows")
+    elif step == "folder":
+        write_folder(rows, str(tmp_path), "rows")
+    else:
+        db.export_csv(rows, str(tmp_path), "2024-01-02 03:04:05")
+    assert not shuffle_files(spark) - there
+    # The same rows may be asked for again.
+    assert rows.count() == 1000
+
+
+def test_landed_files_of_the_queries_are_compressed(spark, sf_dir):
+    from workload.queries import LANDED, _land_in_order
+
+    folder = _land_in_order(spark, sf_dir)
+    assert len(list_files(spark, folder, LANDED)) == 4 and not list_files(spark, folder)
+
+
+def test_compressed_exports_are_loaded_like_plain_ones(spark, tmp_path, make_tx):
+    rows = make_tx({"merchant_name": 'a "b", c'}, {"amount": "5"}, {"mid": None}, {})
+    for kind, options in (("none", {}), ("gzip", {"pattern": "*.csv.gz"})):
+        db.export_csv(rows, str(tmp_path / kind / "in"), "2024-01-02 03:04:05", kind)
+        run(spark, tmp_path / kind, **options)
+    plain, packed = (db.read_transactions(spark, str(tmp_path / kind / "table")) for kind in ("none", "gzip"))
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, packed.collect())) and plain.count() == 4
